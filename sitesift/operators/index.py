@@ -86,6 +86,7 @@ class SearchIndex:
     docs: DataFrame
     postings: DataFrame
     term_df: DataFrame
+    del_index: DataFrame | None = None
 
     @property
     def n_docs(self) -> DataFrame:
@@ -102,7 +103,12 @@ def build_index(docs: DataFrame, stop_words: Sequence[str] = (), checkpoint: boo
     tdf = term_stats(postings)
     if checkpoint:
         tdf = tdf.checkpoint(eager=True)
-    return SearchIndex(docs=docs, postings=postings, term_df=tdf)
+    from .search import deletion_index
+
+    dix = deletion_index(tdf)
+    if checkpoint:
+        dix = dix.checkpoint(eager=True)
+    return SearchIndex(docs=docs, postings=postings, term_df=tdf, del_index=dix)
 
 
 def write_index(index: SearchIndex, path: str, buckets: int = 64) -> None:

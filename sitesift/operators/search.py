@@ -127,7 +127,47 @@ def fuzzy_similarity_ok(dist: Column, len_a: Column, len_b: Column, min_sim: Col
     return (dist >= 0) & (sim > _float(min_sim))
 
 
-def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+DEL_MAX = 3  # deletions per side in the deletion join
+DEL_LEN_MAX = 13  # longest vocabulary term in the deletion index
+DEL_QUERY_LEN_MAX = DEL_LEN_MAX + DEL_MAX
+
+
+def deletion_patterns(spark, max_len: int = DEL_QUERY_LEN_MAX, max_del: int = DEL_MAX) -> DataFrame:
+    """(len, ndel, a, b, c): every way to delete up to `max_del` of `len`
+    characters; unused positions are set past the end. A fixed table built from
+    its two parameters (~3,400 rows)."""
+    from itertools import combinations
+
+    rows = []
+    for n in range(1, max_len + 1):
+        for d in range(0, min(max_del, n) + 1):
+            for pos in combinations(range(1, n + 1), d):
+                filled = list(pos) + [n + 1 + i for i in range(3 - d)]
+                rows.append((n, d, *filled))
+    return spark.createDataFrame(rows, "len int, ndel int, a int, b int, c int")
+
+
+def _delete(s: Column) -> Column:
+    a, b, c = F.col("a"), F.col("b"), F.col("c")
+    return F.concat(F.substring(s, 1, a - 1), F.substring(s, a + 1, b - a - 1),
+                    F.substring(s, b + 1, c - b - 1), F.substring(s, c + 1, 1 << 20))
+
+
+def deletion_index(term_df: DataFrame) -> DataFrame:
+    """Vocabulary deletion variants: (field, variant, vterm, vlen, vndel, df)
+    for terms of at most DEL_LEN_MAX characters, at most min(3, len/2)
+    deletions. Built once per index; a search joins its few query variants to
+    it on (field, variant)."""
+    pat = F.broadcast(deletion_patterns(term_df.sparkSession, DEL_LEN_MAX))  # fixed size
+    v = term_df.select("field", F.col("term").alias("vterm"), "df", F.length("term").alias("vlen")) \
+        .filter(F.col("vlen") <= DEL_LEN_MAX)
+    j = v.join(pat, (pat["len"] == v["vlen"]) & (pat["ndel"] <= F.floor(v["vlen"] / 2)))
+    return j.select("field", _delete(F.col("vterm")).alias("variant"), "vterm", "vlen",
+                    F.col("ndel").alias("vndel"), "df")
+
+
+def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                 del_index: DataFrame | None = None) -> DataFrame:
     """Match clause terms (field, term, min_sim) to the vocabulary.
 
     Returns (field, term, min_sim, vterm, df, weight). A term whose length is
@@ -135,7 +175,16 @@ def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST
     every vocabulary term v with levenshtein(term, v) <= k =
     int((1-min)*min(len)) and similarity > min, weight (sim-min)/(1-min).
     At most 1,024 expansions per term, best weight first, ties by term.
+
+    Candidates are exact supersets of the matches, from two routes:
+    * deletion join (k <= 3, vocabulary term <= 13 chars, k <= len/2): strings
+      within k edits share a variant with at most k deletions on each side, so
+      an equi-join on (field, variant) finds every such pair;
+    * length window for the rest (long vocabulary terms are few): the term side
+      is broadcast (checked size) and joined on (field, length).
+    levenshtein with threshold k then verifies each candidate.
     """
+    spark = terms.sparkSession
     t = terms.select("field", "term", "min_sim").distinct()
     L = F.length("term")
     long_enough = (F.col("min_sim") < 1.0) & (L.cast("double") > F.lit(1.0) / (F.lit(1.0) - F.col("min_sim")))
@@ -145,24 +194,48 @@ def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST
     exact = (t.filter(~F.col("fuzzy")).join(vocab, (t.field == vocab.field) & (t.term == vocab.vterm))
              .select(t.field, "term", "min_sim", "vterm", "df", F.lit(1.0).alias("weight")))
 
-    fz = t.filter(F.col("fuzzy"))
-    kmax = F.floor((F.lit(1.0) - F.col("min_sim")) * L).cast("int")
-    fz = fz.withColumn("vlen", F.explode(F.sequence(F.greatest(L - kmax, F.lit(1)), L + kmax)))
+    fz = t.filter(F.col("fuzzy")).withColumn("L", L)
+    kmax = F.floor((F.lit(1.0) - F.col("min_sim")) * F.col("L")).cast("int")
+    fz = fz.withColumn("vlen", F.explode(F.sequence(F.greatest(F.col("L") - kmax, F.lit(1)), F.col("L") + kmax)))
+    kp = F.floor((F.lit(1.0) - F.col("min_sim")) * F.least(F.col("L"), F.col("vlen"))).cast("int")
+    fz = fz.withColumn("kp", kp).filter(F.abs(F.col("L") - F.col("vlen")) <= F.col("kp"))
+    by_del = ((F.col("vlen") <= DEL_LEN_MAX) & (F.col("kp") <= DEL_MAX)
+              & (F.col("kp") <= F.floor(F.col("vlen") / 2)) & (F.col("L") <= DEL_QUERY_LEN_MAX))
+    fz = fz.withColumn("by_del", by_del).checkpoint(eager=True)
+
+    # Route 1: deletion join. Query variants need at most max(kp) deletions.
+    qd = fz.filter("by_del").groupBy("field", "term", "min_sim", "L").agg(F.max("kp").alias("kq"))
+    pat = F.broadcast(deletion_patterns(spark))  # fixed size
+    qv = qd.join(pat, (pat["len"] == qd["L"]) & (pat["ndel"] <= qd["kq"])).select(
+        "field", "term", "min_sim", "L", _delete(F.col("term")).alias("variant"), F.col("ndel").alias("qndel"))
+    qv = qv.checkpoint(eager=True)
+    di = del_index if del_index is not None else deletion_index(term_df)
+    qvj = F.broadcast(qv) if fits_broadcast(qv, max_rows) else qv
+    c1 = di.join(qvj, ["field", "variant"])
+    k1 = F.floor((F.lit(1.0) - F.col("min_sim")) * F.least(F.col("L"), F.col("vlen"))).cast("int")
+    c1 = c1.withColumn("kp", k1).filter(
+        (F.col("qndel") <= F.col("kp")) & (F.col("vndel") <= F.col("kp")) & (F.abs(F.col("L") - F.col("vlen")) <= F.col("kp"))
+        & (F.col("vlen") <= DEL_LEN_MAX) & (F.col("kp") <= DEL_MAX) & (F.col("kp") <= F.floor(F.col("vlen") / 2)))
+    c1 = c1.select("field", "term", "min_sim", "vterm", "df", "vlen", "kp").distinct()
+
+    # Route 2: length window over the remaining (term, length) pairs.
+    rest = fz.filter(~F.col("by_del")).select("field", "term", "min_sim", "vlen", "kp")
     vocab_l = vocab.withColumn("vlen", F.length("vterm"))
-    small = fits_broadcast(fz, max_rows)
-    if small:
-        cand = vocab_l.join(F.broadcast(fz), ["field", "vlen"])
+    if fits_broadcast(rest, max_rows):
+        c2 = vocab_l.join(F.broadcast(rest), ["field", "vlen"])
     else:
         # Few distinct (field, length) keys: salt the vocabulary by term hash
         # and replicate the (large) term side over the salts.
         vocab_s = vocab_l.withColumn("salt", F.pmod(F.xxhash64("vterm"), F.lit(SALT_BUCKETS)))
-        fz_s = fz.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
-        cand = vocab_s.join(fz_s, ["field", "vlen", "salt"]).drop("salt")
-    k = F.floor((F.lit(1.0) - F.col("min_sim")) * F.least(L, F.col("vlen"))).cast("int")
-    dist = F.call_function("levenshtein", F.col("term"), F.col("vterm"), k)
+        rest_s = rest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
+        c2 = vocab_s.join(rest_s, ["field", "vlen", "salt"]).drop("salt")
+    cand = c1.unionByName(c2.select("field", "term", "min_sim", "vterm", "df", "vlen", "kp"))
+
+    Lc = F.length("term")
+    dist = F.call_function("levenshtein", F.col("term"), F.col("vterm"), F.col("kp"))
     cand = cand.withColumn("dist", dist).filter(
-        fuzzy_similarity_ok(F.col("dist"), L, F.col("vlen"), F.col("min_sim")))
-    sim = F.lit(1.0) - F.col("dist") / F.least(L, F.col("vlen"))
+        fuzzy_similarity_ok(F.col("dist"), Lc, F.col("vlen"), F.col("min_sim")))
+    sim = F.lit(1.0) - F.col("dist") / F.least(Lc, F.col("vlen"))
     weight = (sim - F.col("min_sim")) / (F.lit(1.0) - F.col("min_sim"))
     fuzzy = cand.select("field", "term", "min_sim", "vterm", "df", weight.alias("weight"))
     w = Window.partitionBy("field", "term", "min_sim").orderBy(F.col("weight").desc(), F.col("vterm"))
@@ -172,9 +245,10 @@ def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST
 
 def clause_matches(clauses: DataFrame, index: SearchIndex, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """G10/G11 input: one scored row per (query, word, field, expanded term, path)."""
-    exp = expand_terms(clauses, index.term_df, max_rows)
+    exp = expand_terms(clauses, index.term_df, max_rows, index.del_index)
     ce = clauses.join(exp, ["field", "term", "min_sim"]).select(
         "query_id", "word_no", "n_clauses", "field", "vterm", "df", (F.col("boost") * F.col("weight")).alias("qboost"))
+    ce = ce.checkpoint(eager=True)
     post = index.postings.select("field", F.col("term").alias("vterm"), "path", "tf", "norm")
     if fits_broadcast(ce, max_rows):
         j = post.join(F.broadcast(ce), ["field", "vterm"])

@@ -32,11 +32,11 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("item_id").alias("query_id"), F.col("text").alias("q"))
 
 
-def page_index(spark: SparkSession, sf_dir: str, checkpoint: bool = False) -> SearchIndex:
+def page_index(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> SearchIndex:
     return build_index(page_documents(spark, sf_dir), checkpoint=checkpoint)
 
 
-def document_index(spark: SparkSession, sf_dir: str, checkpoint: bool = False) -> SearchIndex:
+def document_index(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> SearchIndex:
     docs = documents_as_index(S.table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
     return build_index(docs, checkpoint=checkpoint)
 
