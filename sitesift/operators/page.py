@@ -97,7 +97,7 @@ def build_document(
     ]
     for name, c in (extra_columns or {}).items():
         cols.append(c.alias(name))
-    passthrough = [c for c in ("page_id", "seq", "url", "item_uri") if c in parsed.columns]
+    passthrough = [c for c in ("page_id", "seq", "url", "item_uri", "outcome") if c in parsed.columns]
     return parsed.select(*passthrough, *cols)
 
 
