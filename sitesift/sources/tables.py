@@ -162,8 +162,8 @@ def page_item_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages", "page_id")
     pid = F.col("page_id")
     uri = F.when(pid % 9 == 4, F.lit(None).cast("string")).when(
-        pid % 17 == 5, F.concat(F.lit("sitecore://master/"), _guid("missing", pid), F.lit("?lang=en&ver=1"))
-    ).otherwise(F.concat(F.lit("sitecore://master/"), _guid("item", pid + 1), F.lit("?lang=en&ver=1")))
+        pid % 17 == 5, F.concat(F.lit("sitecore://master/"), _guid("missing", pid))
+    ).otherwise(F.concat(F.lit("sitecore://master/"), _guid("item", pid + 1)))
     return p.select("page_id", uri.alias("item_uri"))
 
 
