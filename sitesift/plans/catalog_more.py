@@ -223,3 +223,53 @@ def q_strip_regions(spark, sf):
 def q_nofollow_links(spark, sf):
     p = parse_pages(_region_pages(spark, sf), follow_rules=_FOLLOW)
     return p.select("page_id", F.explode("links").alias("link"))
+
+
+# ---------------------------------------------------------------- streams
+
+def _fetch_files(spark, sf):
+    from ..operators import route as R
+    from ..streaming import stream as ST
+    f = R.fetch_pages(S.crawl_log(spark, sf), S.pages_meta(spark, sf))
+    src = ST.scratch(spark, "fetch-src")
+    ST.write_fetch_files(f, src, 4)
+    schema = spark.read.parquet(src).schema
+    return ST.read_fetch_stream(spark, src, schema, 1)
+
+
+@register("stream_outcomes", CRAWL_SQL + " SELECT seq, outcome FROM oc2")
+def q_stream_outcomes(spark, sf):
+    from ..streaming import stream as ST
+    out, ck = ST.scratch(spark, "outcomes"), ST.scratch(spark, "outcomes-ck")
+    ST.run_available(ST.stream_outcomes(_fetch_files(spark, sf)), out, ck)
+    return spark.read.parquet(out).select("seq", "outcome")
+
+
+@register("stream_seen", f"""WITH {CRAWL_SQL.removeprefix('WITH ')}
+SELECT DISTINCT CASE WHEN regexp_matches(u, '^([A-Za-z][A-Za-z0-9+.-]*)://')
+    THEN lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' || regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)', 1)
+         || lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)', 1))
+         || lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$', 1)) ELSE lower(u) END AS url_key
+  FROM (SELECT split_part(url, '#', 1) AS u FROM oc2)""")
+def q_stream_seen(spark, sf):
+    from ..streaming import stream as ST
+    out, ck = ST.scratch(spark, "seen"), ST.scratch(spark, "seen-ck")
+    ST.run_available(ST.stream_seen(_fetch_files(spark, sf)).select("seq", "url_key"), out, ck)
+    return spark.read.parquet(out).select("url_key")
+
+
+@register("stream_latest", CRAWL_SQL + " SELECT doc_key, max(seq) AS seq, arg_max(outcome, seq) AS outcome FROM oc2 GROUP BY doc_key")
+def q_stream_latest(spark, sf):
+    from ..streaming import stream as ST
+    out, ck = ST.scratch(spark, "latest"), ST.scratch(spark, "latest-ck")
+    ST.run_latest(ST.stream_latest(ST.stream_outcomes(_fetch_files(spark, sf))), out, ck)
+    return ST.read_current(spark, out).select("doc_key", "seq", "outcome")
+
+
+@register("stream_index", CRAWL_SQL + """ SELECT doc_key AS path, seq FROM (
+  SELECT doc_key, max(seq) AS seq, arg_max(outcome, seq) AS outcome FROM oc2 GROUP BY doc_key) WHERE outcome = 'INDEXED'""")
+def q_stream_index(spark, sf):
+    from ..streaming import stream as ST
+    root, ck = ST.scratch(spark, "docs"), ST.scratch(spark, "docs-ck")
+    ST.stream_index(_fetch_files(spark, sf), root, ck)
+    return ST.indexed_documents(spark, root).select(F.col("doc_key").alias("path"), "seq")
