@@ -160,6 +160,32 @@ def extra_fields(metas) -> Column:
     )
 
 
+def noindex_hits(metas) -> Column:
+    """robots/internal-index metas whose content contains 'noindex' (any case)."""
+    return F.filter(
+        _c(metas),
+        lambda m: F.lower(m["name"]).isin("robots", "internal-index") & F.lower(m["content"]).contains("noindex"),
+    )
+
+
+def noindex_reason_from(hits) -> Column:
+    first = F.get(_c(hits), 0)
+    return F.when(F.size(_c(hits)) > 0, F.format_string("encountered meta tag %s='%s'", first["name"], first["content"]))
+
+
+def canonical_hrefs(cleaned) -> Column:
+    """hrefs ('' when absent) of <link rel="canonical"> tags, page order."""
+    tags = F.regexp_extract_all(_c(cleaned), F.lit(P.LINK_TAG), 0)
+    canon = F.filter(tags, lambda t: unquote(F.regexp_extract(t, P.attr("rel"), 1)) == "canonical")
+    return F.transform(canon, lambda t: unquote(F.regexp_extract(t, P.attr("href"), 1)))
+
+
+def canonical_reason_from(hrefs, doc_key) -> Column:
+    href = F.get(_c(hrefs), 0)
+    return F.when((F.size(_c(hrefs)) > 0) & ~F.lower(href).contains(F.lower(_c(doc_key))),
+                  F.format_string("encountered canonical tag to '%s'", href))
+
+
 def noindex_reason(metas) -> Column:
     """Reason text of the first robots/internal-index meta containing 'noindex', else null."""
     hit = F.filter(

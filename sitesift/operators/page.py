@@ -50,18 +50,25 @@ def parse_pages(
         ok.alias("_parsed"),
     )
     key = U.doc_key(F.col("_url"))
-    metas_skip = H.extract_metas(F.col("_sh"))
-    return stage1.select(
-        *keep,
+    # Intermediate arrays get their own projection so each is computed once.
+    stage2 = stage1.select(
+        *keep, "_url", "_th", "_lh", "_parsed",
         key.alias("doc_key"),
+        H.extract_metas("_th").alias("_metas"),
+        H.noindex_hits(H.extract_metas("_sh")).alias("_ni"),
+        H.canonical_hrefs("_sh").alias("_canon"),
+    )
+    return stage2.select(
+        *keep,
+        "doc_key",
         F.col("_parsed").alias("parsed"),
         F.coalesce(H.extract_title("_th"), F.lit("")).alias("title"),
-        F.coalesce(H.extract_metas("_th"), F.array().cast("array<struct<name:string,content:string>>")).alias("metas"),
+        F.coalesce(F.col("_metas"), F.array().cast("array<struct<name:string,content:string>>")).alias("metas"),
         F.coalesce(H.extract_text("_th"), F.lit("")).alias("text"),
         F.coalesce(H.extract_links("_lh"), F.array().cast("array<string>")).alias("links"),
         F.when(F.col("_parsed"), U.base_url(F.col("_lh"), F.col("_url"))).alias("base_url"),
-        F.when(F.col("_parsed"), H.noindex_reason(metas_skip)).alias("noindex_reason"),
-        F.when(F.col("_parsed"), H.canonical_reason(F.col("_sh"), key)).alias("canonical_reason"),
+        F.when(F.col("_parsed"), H.noindex_reason_from("_ni")).alias("noindex_reason"),
+        F.when(F.col("_parsed"), H.canonical_reason_from("_canon", F.col("doc_key"))).alias("canonical_reason"),
     )
 
 

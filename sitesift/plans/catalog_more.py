@@ -273,3 +273,94 @@ def q_stream_index(spark, sf):
     root, ck = ST.scratch(spark, "docs"), ST.scratch(spark, "docs-ck")
     ST.stream_index(_fetch_files(spark, sf), root, ck)
     return ST.indexed_documents(spark, root).select(F.col("doc_key").alias("path"), "seq")
+
+
+# ---------------------------------------------------------------- search filters on an item-enriched page index
+
+def enriched_page_index(spark, sf):
+    """Page documents joined with their CMS item: language, template, hidden
+    (any ancestor), item path, database, creator and editor become filter and
+    field columns."""
+    from ..functions.text import short_id
+    from ..operators.index import build_index
+    from . import flows
+    docs = flows.page_documents(spark, sf)
+    hdr = S.page_item_headers(spark, sf)
+    items = S.items(spark, sf)
+    it = EN.version_fields(EN.item_uri(items), S.templates(spark, sf))
+    it = it.join(EN.hidden_flag(items).withColumnRenamed("hidden", "hidden_any"), "item_no") \
+        .join(EN.item_path(items), "item_no")
+    it = it.select("item_uri", "db", "language", "template", F.col("hidden_any").alias("hidden"), "item_path",
+                   F.col("created_by").alias("creator"), F.col("updated_by").alias("editor"),
+                   short_id(F.col("item_id")).alias("item_sid"))
+    d = docs.join(hdr, "page_id", "left").join(it, "item_uri", "left")
+    return build_index(d, checkpoint=True)
+
+
+def _root(spark, sf, item_no, section_no=None):
+    from ..functions.text import short_id
+    it = S.items(spark, sf)
+    r = it.filter(F.col("item_no") == item_no).select(short_id(F.col("item_id")).alias("s"), "database", "language").first()
+    root = {"short_id": r["s"], "database": r["database"], "language": r["language"]}
+    if section_no is not None:
+        root["section_short_id"] = it.filter(F.col("item_no") == section_no).select(
+            short_id(F.col("item_id")).alias("s")).first()["s"]
+    return root
+
+
+def _filtered_search(spark, sf, opts):
+    from ..operators import search as SR
+    from . import flows
+    idx = enriched_page_index(spark, sf)
+    opts.start, opts.count = 0, 10
+    return SR.search_many(flows.benchmark_queries(spark, sf), idx, opts)
+
+
+@register("filter_subtree")
+def q_filter_subtree(spark, sf):
+    from ..operators.search import SearchOptions
+    return _filtered_search(spark, sf, SearchOptions(root_item=_root(spark, sf, 1), ignore_editor_options=True))
+
+
+@register("filter_section")
+def q_filter_section(spark, sf):
+    from ..operators.search import SearchOptions
+    return _filtered_search(spark, sf, SearchOptions(root_item=_root(spark, sf, 4, section_no=1)))
+
+
+@register("filter_hidden")
+def q_filter_hidden(spark, sf):
+    from ..operators.search import SearchOptions
+    return _filtered_search(spark, sf, SearchOptions(languages=["en", "de", "fr-FR"]))
+
+
+@register("filter_template")
+def q_filter_template(spark, sf):
+    from ..functions.text import short_id
+    from ..operators.search import SearchOptions
+    t = S.templates(spark, sf).filter(F.col("template_no") == 3).select(short_id(F.col("template_id")).alias("s")).first()["s"]
+    return _filtered_search(spark, sf, SearchOptions(template=t))
+
+
+@register("prefer_user")
+def q_prefer_user(spark, sf):
+    from ..operators.search import SearchOptions
+    return _filtered_search(spark, sf, SearchOptions(user="sitecore\\user3", user_boost=1.0))
+
+
+@register("write_results")
+def q_write_results(spark, sf):
+    from ..operators.docs import write_results
+    from ..operators.search import SearchOptions, search_many
+    from ..streaming.stream import scratch
+    from . import flows
+    r = search_many(flows.benchmark_queries(spark, sf), flows.document_index(spark, sf), SearchOptions(start=0, count=10))
+    return write_results(r, scratch(spark, "results"))
+
+
+def _oracles():
+    from .catalog import ORACLE, SEARCH_RESULT_SQL
+    ORACLE["write_results"] = SEARCH_RESULT_SQL
+
+
+_oracles()
