@@ -60,14 +60,15 @@ class SearchOptions:
     extra_filters: Sequence[Column] = field(default_factory=tuple)
 
 
-def _fields_df(spark, opts: SearchOptions) -> DataFrame:
-    """Three-row literal frame (field, base boost, gets the title boost)."""
+def _fields_col(opts: SearchOptions) -> Column:
+    """Literal array of (field, base boost, gets the title boost), three by default."""
     if opts.fields is not None:
         rows = [(f, float(b), False) for f, b in opts.fields]
     else:
         rows = [("content", CONTENT_BOOST, False), ("name", opts.boost_title, True),
                 ("description", DESCRIPTION_BOOST, False)]
-    return spark.createDataFrame(rows, "field string, base_boost double, is_title boolean")
+    return F.array(*[F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("base_boost"), F.lit(t).alias("is_title"))
+                     for f, b, t in rows])
 
 
 def split_query(queries: DataFrame, q: str = "q", stop_words: Sequence[str] = ()) -> DataFrame:
@@ -92,7 +93,6 @@ def full_text_clauses(queries: DataFrame, opts: SearchOptions | None = None, q:
     the caller's title boost). Each word is OR-ed over three fields.
     """
     opts = opts or SearchOptions()
-    spark = queries.sparkSession
     qs = queries.filter(F.col(q).isNotNull() & (F.col(q) != ""))
     words = split_query(qs, q, opts.stop_words)
     n_words = words.groupBy("query_id").agg(F.count(F.lit(1)).alias("nw"))
@@ -107,8 +107,7 @@ def full_text_clauses(queries: DataFrame, opts: SearchOptions | None = None, q:
         "query_id", "word_no", term(F.col("word")).alias("term"), F.lit(WORD_MIN_SIM).alias("min_sim"),
         F.lit(0.0).alias("extra"), F.lit(False).alias("is_whole"))
     words_all = whole.unionByName(per_word)
-    fields = F.broadcast(_fields_df(spark, opts))  # fixed 3 rows
-    c = words_all.crossJoin(fields)
+    c = words_all.select("*", F.inline(_fields_col(opts)))
     boost = F.when(F.col("is_title") & F.col("is_whole"), F.lit(NAME_BOOST)).otherwise(F.col("base_boost")) + F.col("extra")
     c = c.select("query_id", "word_no", "field", "term", F.col("min_sim").cast("double"), boost.alias("boost"))
     c = c.join(n_words, "query_id", "left").withColumn(
@@ -254,8 +253,8 @@ def clause_matches(clauses: DataFrame, index: SearchIndex, max_rows: int = BROAD
         j = post.join(F.broadcast(ce), ["field", "vterm"])
     else:
         j = post.join(ce, ["field", "vterm"])
-    j = j.crossJoin(F.broadcast(index.n_docs))  # one row
-    idf = F.lit(1.0) + F.log(F.col("n_docs") / (F.col("df") + F.lit(1)))
+    n_docs = index.n_docs.scalar()  # scalar subquery
+    idf = F.lit(1.0) + F.log(n_docs / (F.col("df") + F.lit(1)))
     contrib = F.sqrt(F.col("tf")) * idf * idf * F.col("qboost") * F.col("norm")
     return j.select("query_id", "word_no", "n_clauses", "field", "path", contrib.alias("w"))
 

@@ -47,10 +47,9 @@ def crawl_log(spark: SparkSession, sf_dir: str, abort_seq: int | None = None,
     status, type, depth and time. `abort_seq` turns one fetch into a 503;
     `depth0_error_seq` turns one into a depth-0 500 (the abort cases)."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
-    n_pages = pages.agg(F.count(F.lit(1)).alias("n_pages"))
+    n_pages = pages.agg(F.count(F.lit(1)).alias("n_pages")).scalar()  # scalar subquery
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    # One-row aggregate cross-joined (broadcast; the row count is exactly 1).
-    ev = ev.crossJoin(F.broadcast(n_pages)).withColumn("pid", F.col("event_id") % F.col("n_pages"))
+    ev = ev.withColumn("pid", F.col("event_id") % n_pages)
     j = ev.join(pages, pages.page_id == ev.pid)
     status = (F.when((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0), 500)
               .when(F.col("event_type") == "error", 404).otherwise(200))
@@ -145,12 +144,12 @@ def template_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item → item links: each item links to key*2 and key+7 when that item exists."""
     p = table(spark, sf_dir, "part", "p_partkey")
-    n = p.agg(F.max("p_partkey").alias("mx"))
+    mx = p.agg(F.max("p_partkey").alias("mx")).scalar()  # scalar subquery
     k = F.col("p_partkey")
-    l = p.crossJoin(F.broadcast(n)).select(
+    l = p.select(
         k.alias("item_no"),
         F.array(F.struct(F.lit(1).alias("ord"), (k * 2).alias("target_no")),
-                F.struct(F.lit(2).alias("ord"), (k + 7).alias("target_no"))).alias("t"), "mx")
+                F.struct(F.lit(2).alias("ord"), (k + 7).alias("target_no"))).alias("t"), mx.alias("mx"))
     l = l.select("item_no", "mx", F.inline("t"))
     return l.filter(F.col("target_no") <= F.col("mx")).select(
         "item_no", F.col("ord").cast("int"), F.col("target_no").cast("bigint"))
@@ -170,9 +169,9 @@ def page_item_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link graph over page ids: src → (3*src + j) % n for j in 1, 2, 5."""
     p = table(spark, sf_dir, "pages", "page_id")
-    n = p.agg(F.count(F.lit(1)).alias("n"))
-    e = p.crossJoin(F.broadcast(n)).select("page_id", "n", F.explode(F.array(F.lit(1), F.lit(2), F.lit(5))).alias("j"))
-    return e.select(F.col("page_id").alias("src"), ((F.col("page_id") * 3 + F.col("j")) % F.col("n")).alias("dst"))
+    n = p.agg(F.count(F.lit(1)).alias("n")).scalar()  # scalar subquery
+    e = p.select("page_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(5))).alias("j"))
+    return e.select(F.col("page_id").alias("src"), ((F.col("page_id") * 3 + F.col("j")) % n).alias("dst"))
 
 
 def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
