@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op8_bpe
 from .sharding import op1_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op8_bpe": op8_bpe,
 }
 
 #: None of the queries has SQL: checksums, hashes and learned models have no DuckDB form.
