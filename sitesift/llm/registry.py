@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
+from .pii import op9_pii
 from .sharding import op1_sharding
+from .simhash import op4_simhash
+from .tokenbin import op5_token_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op4_simhash": op4_simhash,
+    "op5_token_ids": op5_token_ids,
     "op8_bpe": op8_bpe,
+    "op9_pii": op9_pii,
 }
 
 #: None of the queries has SQL: checksums, hashes and learned models have no DuckDB form.
