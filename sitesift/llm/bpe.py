@@ -33,7 +33,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Characters of text whose words are replayed together.
 SLAB_CHARS = 2_000_000
 #: Words whose ids a task keeps (a speed matter only: a word that went is merged again).
-KEPT_WORDS = 800_000
+KEPT_WORDS = 400_000
 ID = np.dtype("<u4")
 
 
@@ -188,7 +188,7 @@ class Encoder:
         self.words_of = regex.compile(public_tokenizers.PATTERN).findall
         #: White space beside a blank, or a blank at an end.
         self.unclear = re.compile(r" \s|[^\S ] |\A\s|\s\Z").search
-        self.pieces, self.chunks = Kept(KEPT_WORDS), Kept(KEPT_WORDS)
+        self.pieces, self.chunks = Kept(KEPT_WORDS // 2), Kept(KEPT_WORDS)
 
     def _chunks(self, text: str) -> list[str]:
         """The text cut before single blanks that stand between two other characters.
@@ -278,7 +278,9 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
         for token, rank in ranks.items():
             tokens[rank] = token
         for rows in batches:
-            yield rows.assign(decoded=[b"".join([tokens[i] for i in np.frombuffer(x or b"", ID).tolist()]) for x in rows["ids"]])
+            for a in range(0, len(rows), 500):
+                part = rows.iloc[a:a + 500]
+                yield part.assign(decoded=[b"".join([tokens[i] for i in np.frombuffer(x or b"", ID).tolist()]) for x in part["ids"]])
 
     return encoded.mapInPandas(run, schema)
 
