@@ -22,16 +22,16 @@ from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import add_columns, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Characters of text whose words are replayed together.
-SLAB_CHARS = 2_000_000
+#: Rows decoded at once.
+ROWS = 500
 #: Words whose ids a task keeps (a speed matter only: a word that went is merged again).
 KEPT_WORDS = 400_000
 ID = np.dtype("<u4")
@@ -234,18 +234,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slabs(texts: list[str], chars: int = SLAB_CHARS) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of about ``chars`` characters; at least one text each."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > chars:
-            yield start, i
-            start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encode_documents(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
     """``docs`` with ``ids`` (binary: little-endian unsigned 32-bit) and ``n_tokens``.
 
@@ -253,36 +241,34 @@ def encode_documents(docs: DataFrame, text_col: str = "text", path: str | None =
     rows get equal ids, an empty table gives none. Columns named ``ids`` or
     ``n_tokens`` in the input are replaced; all others are kept.
     """
-    docs = docs.drop("ids", "n_tokens")
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path or vocabulary_path())
-        for rows in batches:
-            texts = [t if t is not None else "" for t in rows[text_col]]
-            for a, b in slabs(texts):
-                ids = enc.encode(texts[a:b])
-                yield rows.iloc[a:b].assign(ids=ids, n_tokens=[len(x) // ID.itemsize for x in ids])
+    def make(texts: list[str], _) -> dict[str, list]:
+        ids = encoder(path or vocabulary_path()).encode(texts)
+        return {"ids": ids, "n_tokens": [len(x) // ID.itemsize for x in ids]}
 
-    return docs.mapInPandas(run, schema)
+    return add_columns(docs, {"ids": "binary", "n_tokens": "long"}, text_col, make)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes that ``ids`` stand for (null ids: none)."""
-    encoded = encoded.drop("decoded")
-    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tokens_of() -> list[bytes]:
         ranks = load_ranks(path or vocabulary_path())
-        tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
-        for rows in batches:
-            for a in range(0, len(rows), 500):
-                part = rows.iloc[a:a + 500]
-                yield part.assign(decoded=[b"".join([tokens[i] for i in np.frombuffer(x or b"", ID).tolist()]) for x in part["ids"]])
+        return tokens
+
+    encoded = encoded.drop("decoded")
+    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = tokens_of()
+        for batch in batches:
+            for a in range(0, len(batch), ROWS):
+                rows = batch.slice(a, ROWS)
+                decoded = [b"".join([tokens[i] for i in np.frombuffer(x or b"", ID).tolist()]) for x in rows.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(decoded, pa.binary())], names=[*rows.schema.names, "decoded"])
 
-    return encoded.mapInPandas(run, schema)
+    return encoded.mapInArrow(run, schema)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sitesift.session import ensure_checkpoint_dir
 
@@ -56,3 +60,50 @@ def global_rank(df: DataFrame, order: list[str], out: str = "pos") -> DataFrame:
 def utf8_size(text: Column) -> Column:
     """Bytes of the text in UTF-8; a null text has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+#: Characters of text that a task handles at once.
+SLAB_CHARS = 2_000_000
+
+
+def slabs(texts: list[str], chars: int = SLAB_CHARS) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``chars`` characters; at least one text each."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > chars:
+            yield start, i
+            start, held = i, 0
+        held += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
+    """The texts of a batch; null as empty."""
+    return [t if t is not None else "" for t in batch.column(column).to_pylist()]
+
+
+def add_columns(df: DataFrame, fields: dict[str, str], text_col: str,
+                make: Callable[[list[str], pa.RecordBatch], dict[str, list]], drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the columns ``fields`` (name: type) that ``make`` computes from the texts of a slab of rows.
+
+    ``make`` gets the texts (null as empty) and their rows. Other columns pass
+    through as Arrow arrays, whatever their types; columns in ``drop`` go.
+    """
+    df = df.drop(*fields)
+    kept = [f for f in df.schema.fields if f.name not in drop]
+    schema = T.StructType([*kept, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()]])
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            texts = texts_of(batch, text_col)
+            for a, b in slabs(texts):
+                rows = batch.slice(a, b - a)
+                made = make(texts[a:b], rows)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(n).cast(arrow.field(n).type) if n in names else pa.array(made[n], arrow.field(n).type)
+                     for n in schema.names], schema=arrow)
+
+    return df.mapInArrow(run, schema)

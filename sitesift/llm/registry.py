@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
+from .decontaminate import op6_decontaminate
+from .langid import language_of_pages, op10_language
 from .pii import op9_pii
 from .sharding import op1_sharding
 from .simhash import op4_simhash
@@ -16,8 +18,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op4_simhash": op4_simhash,
     "op5_token_ids": op5_token_ids,
+    "op6_decontaminate": op6_decontaminate,
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
+    "op10_language": op10_language,
+    "language_of_pages": language_of_pages,
 }
 
 #: None of the queries has SQL: checksums, hashes and learned models have no DuckDB form.

@@ -23,9 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import table, written
+from .common import add_columns, table, written
 from .graph import components
 
 RADIUS = 3
@@ -63,14 +62,7 @@ def _signed(x: int) -> int:
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:
     """``docs`` with the text's fingerprint as a (signed) long."""
-    docs = docs.drop(out)
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.assign(**{out: np.array([_signed(fingerprint(t)) for t in rows[text_col]], np.int64)})
-
-    return docs.mapInPandas(run, schema)
+    return add_columns(docs, {out: "long"}, text_col, lambda texts, _: {out: [_signed(fingerprint(t)) for t in texts]})
 
 
 def covering_masks(free: int = (1 << 64) - 1, radius: int = RADIUS) -> list[int]:

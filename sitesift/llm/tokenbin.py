@@ -21,13 +21,15 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .bpe import ID, KEPT_WORDS, Kept, slabs
-from .common import shared_path, shuffle_parts, table
+from .bpe import ID, KEPT_WORDS, Kept
+from .common import shared_path, shuffle_parts, slabs, table, texts_of
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -114,7 +116,9 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     rows = rows.repartitionByRange(shuffle_parts(spark), "id", "text").sortWithinPartitions("id", "text")
     ending = np.array([end_id], ID).tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_schema(T._parse_datatype_string(BLOCK_SCHEMA))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = word_encoder(tokenizer or tokenizer_path())
         file = TaskContext.get().partitionId()
         held, begun, opened = b"", [], None  # ids not yet in a block, the documents begun in it, the one that goes on
@@ -133,14 +137,12 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             opened = None if begun and begun[0]["start"] == at else last
             return row
 
-        def frame(rows: list[dict]) -> pd.DataFrame:
-            out = pd.DataFrame(rows, columns=["file", "block", "first", "n_ids", "open", "plane", "planes", "crc32", "docs"])
-            return out.astype({"open": "Int64"})
+        def frame(rows: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist(rows, schema=arrow)
 
         start = 0
         for batch in batches:
-            texts = [t if t is not None else "" for t in batch["text"]]
-            names = [None if pd.isna(i) else int(i) for i in batch["id"]]
+            texts, names = texts_of(batch, "text"), batch.column("id").to_pylist()
             for a, b in slabs(texts):
                 parts = [held]
                 for name, ids in zip(names[a:b], enc.encode(texts[a:b]), strict=True):
@@ -156,7 +158,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         if held:
             yield frame([block(held)])
 
-    rows.mapInPandas(run, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
+    rows.mapInArrow(run, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
     blocks = _blocks(spark, path)
     blocks.select("file", "block", "first", "n_ids", "plane", "crc32", F.transform("planes", F.octet_length).alias("plane_bytes"),
                   F.size("docs").alias("n_docs")).write.parquet(f"{path}/index")
@@ -179,33 +181,35 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     blocks are brought together by its place. Damaged blocks raise an error.
     """
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    piece = "file long, doc long, at long, id long, n_tokens long, ids binary, whole boolean"
+
+    arrow = to_arrow_schema(T._parse_datatype_string(piece))
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples():
-                ids = from_planes(list(row.planes), row.n_ids, row.plane).tobytes()
-                if zlib.crc32(ids) != row.crc32:
-                    raise ValueError(f"block {row.block} of file {row.file} is damaged")
-                out = []
-                docs = list(row.docs)
-                if not pd.isna(row.open):
-                    to = docs[0]["start"] if docs else row.first + row.n_ids
-                    out.append((row.file, int(row.open), row.first, None, None, ids[:(to - row.first) * ID.itemsize], False))
+            for row in (r for i in range(len(batch)) for r in batch.slice(i, 1).to_pylist()):
+                ids = from_planes(row["planes"], row["n_ids"], row["plane"]).tobytes()
+                if zlib.crc32(ids) != row["crc32"]:
+                    raise ValueError(f"block {row['block']} of file {row['file']} is damaged")
+                out, docs, first = [], row["docs"], row["first"]
+                if row["open"] is not None:
+                    to = docs[0]["start"] if docs else first + row["n_ids"]
+                    out.append((row["file"], row["open"], first, None, None, ids[:(to - first) * ID.itemsize], False))
                 for d in docs:
-                    a = d["start"] - row.first
-                    out.append((row.file, d["start"], d["start"], d["id"], d["n_tokens"],
-                                ids[a * ID.itemsize:(a + d["n_tokens"]) * ID.itemsize], a + d["n_tokens"] <= row.n_ids))
-                frame = pd.DataFrame(out, columns=["file", "doc", "at", "id", "n_tokens", "ids", "whole"])
-                yield frame.astype({"id": "Int64", "n_tokens": "Int64"})
+                    a = d["start"] - first
+                    out.append((row["file"], d["start"], d["start"], d["id"], d["n_tokens"],
+                                ids[a * ID.itemsize:(a + d["n_tokens"]) * ID.itemsize], a + d["n_tokens"] <= row["n_ids"]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), arrow.types, strict=True)], schema=arrow)
 
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.assign(ids=[b"".join(p["ids"] for p in sorted(ps, key=lambda p: p["at"])) for ps in batch["parts"]]).drop(columns="parts")
+            ids = [b"".join(p["ids"] for p in sorted(parts, key=lambda p: p["at"])) for parts in batch.column("parts").to_pylist()]
+            yield batch.drop_columns(["parts"]).append_column("ids", pa.array(ids, pa.binary()))
 
-    found = _blocks(spark, path).mapInPandas(
-        pieces, "file long, doc long, at long, id long, n_tokens long, ids binary, whole boolean")
+    found = _blocks(spark, path).mapInArrow(pieces, piece)
     broken = (found.filter("NOT whole").groupBy("file", "doc")
               .agg(F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"), F.collect_list(F.struct("at", "ids")).alias("parts"))
-              .mapInPandas(join, "file long, doc long, id long, n_tokens long, ids binary"))
+              .mapInArrow(join, "file long, doc long, id long, n_tokens long, ids binary"))
     docs = found.filter("whole").select("file", "doc", "id", "n_tokens", "ids").unionByName(broken)
     return (docs.join(F.broadcast(file_starts(spark, path)), "file")  # one row per file
             .select("id", (F.col("before") + F.col("doc")).alias("start"), "n_tokens", "ids"))
