@@ -13,9 +13,11 @@ from .pii import op9_pii
 from .sharding import op1_sharding
 from .simhash import op4_simhash
 from .tokenbin import op5_token_ids
+from .vptree import op3_neighbours
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_neighbours": op3_neighbours,
     "op4_simhash": op4_simhash,
     "op5_token_ids": op5_token_ids,
     "op6_decontaminate": op6_decontaminate,
