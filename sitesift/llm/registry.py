@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
 from .decontaminate import op6_decontaminate
+from .extract import op2_main_text
 from .langid import language_of_pages, op10_language
 from .pii import op9_pii
 from .sharding import op1_sharding
@@ -17,6 +18,7 @@ from .vptree import op3_neighbours
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_main_text": op2_main_text,
     "op3_neighbours": op3_neighbours,
     "op4_simhash": op4_simhash,
     "op5_token_ids": op5_token_ids,
