@@ -11,6 +11,7 @@ from .decontaminate import op6_decontaminate
 from .extract import op2_main_text
 from .langid import language_of_pages, op10_language
 from .pii import op9_pii
+from .pitman_yor import op7_pitman_yor
 from .sharding import op1_sharding
 from .simhash import op4_simhash
 from .tokenbin import op5_token_ids
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_token_ids": op5_token_ids,
     "op6_decontaminate": op6_decontaminate,
+    "op7_pitman_yor": op7_pitman_yor,
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_language": op10_language,
