@@ -29,7 +29,7 @@ A_LINK_HREF = r"(?is)<(?:a|link)[ \t\n\r\f](?:[^>]*?[ \t\n\r\f])?href[ \t\n\r\f]
 REF_SRC = (r"(?is)<[a-z][a-z0-9]*[ \t\n\r\f](?:[^>]*?[ \t\n\r\f])?(?:src|background|lowsrc)"
            r"[ \t\n\r\f]*=[ \t\n\r\f]*" + _VAL)
 LINK_TAG = r"(?is)<link[ \t\n\r\f][^>]*>"
-HEAD = r"(?is)<head[^>]*>(.*?)</head[^>]*>"
+HEAD = r"(?is)<head(?:[ \t\n\r\f][^>]*)?>(.*?)</head[ \t\n\r\f]*>"
 BASE_TAG = r"(?is)<base[ \t\n\r\f][^>]*>"
 
 # Analyzer: maximal runs of letters and digits (applied to lower-cased text).
@@ -47,12 +47,14 @@ URL_PATH_QUERY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)"
 URL_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 # Well-formed absolute URI: scheme, host, optional port, then characters that
 # are allowed unescaped (non-ASCII allowed, as IRIs), '%' only before two hex
-# digits. Anything else is malformed and is dropped, never fatal.
+# digits. Anything else is malformed and is dropped, never fatal. Two plain
+# tests, shape and no bad '%': a repeated group would recurse for each character.
 WELL_FORMED_URL = (r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^ \t\n\r\f/?#@<>\"]*@)?[A-Za-z0-9._~-]+(?::[0-9]+)?"
-                   r"(?:[/?#](?:%[0-9A-Fa-f][0-9A-Fa-f]|[^% \t\n\r\f<>\"{}|\\^`])*)?$")
+                   r"(?:[/?#][^ \t\n\r\f<>\"{}|\\^`]*)?$")
+BAD_PERCENT = r"^[^/?#]*//[^/?#]*[/?#].*%(?:[^0-9A-Fa-f]|$|[0-9A-Fa-f](?:[^0-9A-Fa-f]|$))"
 
 # Numeric character references.
-NUM_ENTITY = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};"
+NUM_ENTITY = r"&#[0-9]+;|&#[xX][0-9a-fA-F]+;"
 
 # The named entities decoded in links (see SURVEY B6), in the
 # order they are applied; "&amp;" comes last so "&amp;lt;" stays "&lt;".

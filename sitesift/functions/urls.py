@@ -38,6 +38,12 @@ def url_origin(url) -> Column:
     return F.regexp_extract(_c(url), P.URL_ORIGIN, 1)
 
 
+def url_path_query(url) -> Column:
+    """Path and query of an absolute URL, '/' for an empty path."""
+    pq = F.regexp_extract(_c(url), P.URL_PATH_QUERY, 1)
+    return F.when(pq.startswith("/"), pq).otherwise(F.concat(F.lit("/"), pq))
+
+
 def url_path(url) -> Column:
     return F.regexp_extract(_c(url), P.URL_PATH, 1)
 
@@ -61,7 +67,7 @@ def url_identity(url, sensitive: Iterable[str] = ("userinfo",)) -> Column:
 
 def is_well_formed(url) -> Column:
     """Absolute URL that parses; malformed ones are dropped, never fatal."""
-    return F.coalesce(_c(url).rlike(P.WELL_FORMED_URL), F.lit(False))
+    return F.coalesce(_c(url).rlike(P.WELL_FORMED_URL) & ~_c(url).rlike(P.BAD_PERCENT), F.lit(False))
 
 
 def exclude_urls(url, pattern: str = P.DEFAULT_EXCLUDE) -> Column:
@@ -81,10 +87,11 @@ def decode_entities(s) -> Column:
     def decode_ref(ref):
         body = F.regexp_extract(ref, r"^&#([xX]?)([0-9a-fA-F]+);$", 2)
         is_hex = F.regexp_extract(ref, r"^&#([xX]?)", 1) != ""
-        code = F.when(is_hex, F.conv(body, 16, 10).cast("bigint")).otherwise(body.cast("bigint"))
-        # Code points beyond the 16-bit plane are left as written.
-        return F.when(code.between(1, 0xFFFF) & ~code.between(0xD800, 0xDFFF),
-                      F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")).otherwise(ref)
+        digits = F.regexp_replace(body, "^0+", "")  # leading zeros do not count; more than 7 digits is no code point
+        code = F.when(F.length(digits) <= 7, F.when(is_hex, F.conv(digits, 16, 10).cast("bigint")).otherwise(
+            F.when(digits.rlike("^[0-9]+$"), digits).cast("bigint")))
+        return F.when(code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF),
+                      F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(ref)
 
     out = F.aggregate(refs, _c(s), lambda acc, r: F.replace(acc, r, decode_ref(r)))
     for name, ch in P.NAMED_ENTITIES:

@@ -35,16 +35,16 @@ def same_site(links: DataFrame, url_col: str, seeds: DataFrame, seed_col: str) -
 
 def robots_allowed(urls: DataFrame, url_col: str, rules: DataFrame) -> DataFrame:
     """`allowed` per URL row: the longest matching rule prefix of its host
-    decides (allow wins a tie); no matching rule → allowed. Rules join on host
-    (equi) and the prefix test is a filter on the joined rows."""
-    u = urls.withColumn("_rid", F.monotonically_increasing_id()).withColumn("_host", U.url_host(F.col(url_col))) \
-        .withColumn("_path", U.url_path(F.col(url_col)))
+    decides (allow wins a tie); no matching rule → allowed. Prefixes match path
+    and query. Decided once per distinct (host, path): the rules join on host
+    and the prefix test is a filter on the joined rows."""
+    u = urls.withColumn("_host", U.url_host(F.col(url_col))).withColumn("_path", U.url_path_query(F.col(url_col)))
     r = rules.select(F.lower("host").alias("_host"), "prefix", "allow")
     r = F.broadcast(r) if fits_broadcast(r) else r
-    m = u.select("_rid", "_host", "_path").join(r, "_host").filter(F.col("_path").startswith(F.col("prefix")))
-    dec = m.groupBy("_rid").agg(F.max_by("allow", F.struct(F.length("prefix"), F.col("allow"))).alias("_allow"))
-    return u.join(dec, "_rid", "left").withColumn("allowed", F.coalesce(F.col("_allow"), F.lit(True))) \
-        .drop("_rid", "_host", "_path", "_allow")
+    m = u.select("_host", "_path").distinct().join(r, "_host").filter(F.col("_path").startswith(F.col("prefix")))
+    dec = m.groupBy("_host", "_path").agg(F.max_by("allow", F.struct(F.length("prefix"), F.col("allow"))).alias("_allow"))
+    return u.join(dec, ["_host", "_path"], "left").withColumn("allowed", F.coalesce(F.col("_allow"), F.lit(True))) \
+        .drop("_host", "_path", "_allow")
 
 
 def crawl_reach(seeds: DataFrame, edges: DataFrame, max_depth: int = 0, src: str = "src", dst: str = "dst",

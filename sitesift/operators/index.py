@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import analyze_text
@@ -80,40 +80,62 @@ def term_stats(postings: DataFrame) -> DataFrame:
 
 @dataclass
 class SearchIndex:
-    """Everything a search reads. `docs` holds the per-document attributes used
-    for filters and result rows; postings and term_df are the inverted index."""
+    """Everything a search reads: `postings` and `term_df` are the inverted
+    index, `results` the narrow table of result columns, `total` the number of
+    documents; `docs` holds the attributes that filters and sorts name."""
 
     docs: DataFrame
     postings: DataFrame
     term_df: DataFrame
-    del_index: DataFrame | None = None
+    results: DataFrame | None = None
+    total: int | None = None
 
     @property
     def n_docs(self) -> DataFrame:
         return self.docs.agg(F.count(F.lit(1)).alias("n_docs"))
 
+    @property
+    def result_table(self) -> DataFrame:
+        return self.results if self.results is not None else result_columns(self.docs)
+
+
+def result_columns(docs: DataFrame) -> DataFrame:
+    """(path, title, description) of each document."""
+    return docs.select("path", "title", F.coalesce(F.get(F.col("description"), 0), F.lit("")).alias("description"))
+
 
 def build_index(docs: DataFrame, stop_words: Sequence[str] = (), checkpoint: bool = False) -> SearchIndex:
-    """Index the documents. With `checkpoint=True` the postings are written to
-    the shared checkpoint folder once (reliable checkpoint, lineage cut) so the
-    several searches over them do not re-tokenise the corpus."""
+    """Index the documents. With `checkpoint=True` postings, document
+    frequencies and result columns are written to the shared checkpoint folder
+    once, so the searches over them neither re-tokenise nor read the corpus."""
     postings = build_postings(docs, stop_words)
+    results = result_columns(docs)
+    total = None
     if checkpoint:
-        postings = postings.checkpoint(eager=True)
+        postings, results = postings.checkpoint(eager=True), results.checkpoint(eager=True)
+        total = results.count()
     tdf = term_stats(postings)
     if checkpoint:
         tdf = tdf.checkpoint(eager=True)
-    from .search import deletion_index
+    return SearchIndex(docs=docs, postings=postings, term_df=tdf, results=results if checkpoint else None, total=total)
 
-    dix = deletion_index(tdf)
-    if checkpoint:
-        dix = dix.checkpoint(eager=True)
-    return SearchIndex(docs=docs, postings=postings, term_df=tdf, del_index=dix)
+
+# Attributes that filters and sorts read, kept with a written index where the documents have them.
+ATTRIBUTES = ("title", "language", "tags", "hidden", "template", "item_path", "db", "creator", "editor", "depth", "boost")
+
+
+def write_index(index: SearchIndex, path: str) -> None:
+    """Persist an index: postings and document frequencies sorted by (field,
+    term), so that a search's terms prune row groups, result columns and
+    document attributes."""
+    for name, df in (("postings", index.postings), ("term_df", index.term_df)):
+        df.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").parquet(f"{path}/{name}")
+    index.result_table.write.mode("overwrite").parquet(f"{path}/results")
+    kept = [c for c in ATTRIBUTES if c in index.docs.columns]
+    index.docs.select("path", *kept).write.mode("overwrite").parquet(f"{path}/docs")
 
 
-def write_index(index: SearchIndex, path: str, buckets: int = 64) -> None:
-    """Persist postings bucketed by (field, term) and sorted within buckets, so
-    a later join on (field, term) reads them co-located without a shuffle."""
-    (index.postings.repartition(buckets, "field", "term").sortWithinPartitions("field", "term", "path")
-     .write.mode("overwrite").parquet(f"{path}/postings"))
-    index.term_df.write.mode("overwrite").parquet(f"{path}/term_df")
+def read_index(spark: SparkSession, path: str) -> SearchIndex:
+    """The index that `write_index` wrote, ready to be searched."""
+    postings, term_df, results, docs = (spark.read.parquet(f"{path}/{n}") for n in ("postings", "term_df", "results", "docs"))
+    return SearchIndex(docs=docs, postings=postings, term_df=term_df, results=results, total=results.count())

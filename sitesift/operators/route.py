@@ -61,7 +61,8 @@ def outcomes(parsed: DataFrame, custom: Column | None = None, adhere: bool = Tru
 def abort_cut(df: DataFrame) -> DataFrame:
     """The first ABORT (by seq) ends the run; later rows do not count."""
     first = df.filter(F.col("outcome") == ABORT).agg(F.min("seq").alias("s"))
-    return df.filter(F.col("seq") <= F.coalesce(first.scalar(), F.lit(2 ** 62)))
+    first = first.scalar()
+    return df.filter(first.isNull() | (F.col("seq") <= first))
 
 
 def limit_depth(df: DataFrame, max_depth: int) -> DataFrame:

@@ -2,9 +2,8 @@
 
 Plan, per `search_many`:
   queries → clauses (query, word, field, term, min_sim, boost)       narrow
-  distinct clause terms ⋈ vocabulary (term_df) on (field, length)   broadcast of
-      the checked-size term side; levenshtein with a threshold verifies
-  top 1,024 expansions per clause term                               WindowGroupLimit
+  distinct clause terms ⋈ vocabulary on (length, segment no, segment)  equi-join;
+      levenshtein with a threshold verifies; every match counts
   clause expansions ⋈ postings on (field, term)                      broadcast of the
       checked-size expansion side; postings are streamed, never shuffled
   per (query, word, path) then per (query, path) sums with coord     hash aggregates
@@ -28,16 +27,14 @@ from .index import SearchIndex
 from .sizing import BROADCAST_MAX_ROWS, fits_broadcast
 
 # Fixed values of the reference's full-text query: per-word field boosts, the
-# whole query's extra boost when it has several words, the minimum
-# similarities, and the expansion cap of a fuzzy clause.
+# whole query's extra boost when it has several words, and the minimum
+# similarities.
 CONTENT_BOOST = 1.0
 NAME_BOOST = 1.5
 DESCRIPTION_BOOST = 1.1
 MULTI_WORD_EXTRA_BOOST = 0.7
 WHOLE_QUERY_MIN_SIM = 0.5
 WORD_MIN_SIM = 0.7
-MAX_EXPANSIONS = 1024
-SALT_BUCKETS = 64
 
 
 @dataclass
@@ -126,125 +123,79 @@ def fuzzy_similarity_ok(dist: Column, len_a: Column, len_b: Column, min_sim: Col
     return (dist >= 0) & (sim > _float(min_sim))
 
 
-DEL_MAX = 3  # deletions per side in the deletion join
-DEL_LEN_MAX = 13  # longest vocabulary term in the deletion index
-DEL_QUERY_LEN_MAX = DEL_LEN_MAX + DEL_MAX
+def _segments() -> Column:
+    """Array of (no, start, size): the segments of a vocabulary term of `vlen` characters, one more than the
+    `tau` edits that a match may have; starts count from 1."""
+    parts = F.col("tau") + 1
+    cut = lambda i: F.floor(i * F.col("vlen") / parts).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.col("tau")), lambda i: F.struct(
+        i.alias("no"), (cut(i) + 1).alias("start"), (cut(i + 1) - cut(i)).alias("size")))
 
 
-def deletion_patterns(spark, max_len: int = DEL_QUERY_LEN_MAX, max_del: int = DEL_MAX) -> DataFrame:
-    """(len, ndel, a, b, c): every way to delete up to `max_del` of `len`
-    characters; unused positions are set past the end. A fixed table built from
-    its two parameters (~3,400 rows)."""
-    from itertools import combinations
+def _tau() -> Column:
+    """Edits that a match with a vocabulary term of `vlen` characters has at most."""
+    return F.least(F.floor((F.lit(1.0) - F.col("min_sim")) * F.col("vlen")).cast("int"), F.col("vlen") - 1)
 
-    rows = []
-    for n in range(1, max_len + 1):
-        for d in range(0, min(max_del, n) + 1):
-            for pos in combinations(range(1, n + 1), d):
-                filled = list(pos) + [n + 1 + i for i in range(3 - d)]
-                rows.append((n, d, *filled))
-    return spark.createDataFrame(rows, "len int, ndel int, a int, b int, c int")
 
-
-def _delete(s: Column) -> Column:
-    a, b, c = F.col("a"), F.col("b"), F.col("c")
-    return F.concat(F.substring(s, 1, a - 1), F.substring(s, a + 1, b - a - 1),
-                    F.substring(s, b + 1, c - b - 1), F.substring(s, c + 1, 1 << 20))
-
-
-def deletion_index(term_df: DataFrame) -> DataFrame:
-    """Vocabulary deletion variants: (field, variant, vterm, vlen, vndel, df)
-    for terms of at most DEL_LEN_MAX characters, at most min(3, len/2)
-    deletions. Built once per index; a search joins its few query variants to
-    it on (field, variant)."""
-    pat = F.broadcast(deletion_patterns(term_df.sparkSession, DEL_LEN_MAX))  # fixed size
-    v = term_df.select("field", F.col("term").alias("vterm"), "df", F.length("term").alias("vlen")) \
-        .filter(F.col("vlen") <= DEL_LEN_MAX)
-    j = v.join(pat, (pat["len"] == v["vlen"]) & (pat["ndel"] <= F.floor(v["vlen"] / 2)))
-    return j.select("field", _delete(F.col("vterm")).alias("variant"), "vterm", "vlen",
-                    F.col("ndel").alias("vndel"), "df")
-
-
-def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                 del_index: DataFrame | None = None) -> DataFrame:
+def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Match clause terms (field, term, min_sim) to the vocabulary.
 
     Returns (field, term, min_sim, vterm, df, weight). A term whose length is
     at most 1/(1-min) can only match exactly (weight 1); longer terms match
     every vocabulary term v with levenshtein(term, v) <= k =
-    int((1-min)*min(len)) and similarity > min, weight (sim-min)/(1-min).
-    At most 1,024 expansions per term, best weight first, ties by term.
-
-    Candidates are exact supersets of the matches, from two routes:
-    * deletion join (k <= 3, vocabulary term <= 13 chars, k <= len/2): strings
-      within k edits share a variant with at most k deletions on each side, so
-      an equi-join on (field, variant) finds every such pair;
-    * length window for the rest (long vocabulary terms are few): the term side
-      is broadcast (checked size) and joined on (field, length).
-    levenshtein with threshold k then verifies each candidate.
+    int((1-min)*min(len)) and similarity > min, weight (sim-min)/(1-min). All
+    matches are returned.
+
+    Matching runs once over distinct terms, whatever their fields, as one
+    equi-join for any length and any number of edits: a vocabulary term of
+    length l that allows tau edits is cut into tau + 1 segments. Of a match one
+    segment stands unchanged in the query term; segment i is shifted by at most
+    i places counted from the left and tau - i from the right. The query terms
+    give their substrings at those places for the lengths that the vocabulary
+    has. `levenshtein` with threshold k verifies the candidates; matches then
+    take their fields and document frequencies.
     """
-    spark = terms.sparkSession
-    t = terms.select("field", "term", "min_sim").distinct()
-    L = F.length("term")
-    long_enough = (F.col("min_sim") < 1.0) & (L.cast("double") > F.lit(1.0) / (F.lit(1.0) - F.col("min_sim")))
+    t = terms.select("field", "term", "min_sim").distinct().withColumn("L", F.length("term"))
+    long_enough = (F.col("min_sim") < 1.0) & (F.col("L").cast("double") > F.lit(1.0) / (F.lit(1.0) - F.col("min_sim")))
     t = t.withColumn("fuzzy", long_enough)
     vocab = term_df.select("field", F.col("term").alias("vterm"), "df")
-
     exact = (t.filter(~F.col("fuzzy")).join(vocab, (t.field == vocab.field) & (t.term == vocab.vterm))
              .select(t.field, "term", "min_sim", "vterm", "df", F.lit(1.0).alias("weight")))
 
-    fz = t.filter(F.col("fuzzy")).withColumn("L", L)
-    kmax = F.floor((F.lit(1.0) - F.col("min_sim")) * F.col("L")).cast("int")
-    fz = fz.withColumn("vlen", F.explode(F.sequence(F.greatest(F.col("L") - kmax, F.lit(1)), F.col("L") + kmax)))
-    kp = F.floor((F.lit(1.0) - F.col("min_sim")) * F.least(F.col("L"), F.col("vlen"))).cast("int")
-    fz = fz.withColumn("kp", kp).filter(F.abs(F.col("L") - F.col("vlen")) <= F.col("kp"))
-    by_del = ((F.col("vlen") <= DEL_LEN_MAX) & (F.col("kp") <= DEL_MAX)
-              & (F.col("kp") <= F.floor(F.col("vlen") / 2)) & (F.col("L") <= DEL_QUERY_LEN_MAX))
-    fz = fz.withColumn("by_del", by_del).checkpoint(eager=True)
-
-    # Route 1: deletion join. Query variants need at most max(kp) deletions.
-    qd = fz.filter("by_del").groupBy("field", "term", "min_sim", "L").agg(F.max("kp").alias("kq"))
-    pat = F.broadcast(deletion_patterns(spark))  # fixed size
-    qv = qd.join(pat, (pat["len"] == qd["L"]) & (pat["ndel"] <= qd["kq"])).select(
-        "field", "term", "min_sim", "L", _delete(F.col("term")).alias("variant"), F.col("ndel").alias("qndel"))
-    qv = qv.checkpoint(eager=True)
-    di = del_index if del_index is not None else deletion_index(term_df)
-    qvj = F.broadcast(qv) if fits_broadcast(qv, max_rows) else qv
-    c1 = di.join(qvj, ["field", "variant"])
-    k1 = F.floor((F.lit(1.0) - F.col("min_sim")) * F.least(F.col("L"), F.col("vlen"))).cast("int")
-    c1 = c1.withColumn("kp", k1).filter(
-        (F.col("qndel") <= F.col("kp")) & (F.col("vndel") <= F.col("kp")) & (F.abs(F.col("L") - F.col("vlen")) <= F.col("kp"))
-        & (F.col("vlen") <= DEL_LEN_MAX) & (F.col("kp") <= DEL_MAX) & (F.col("kp") <= F.floor(F.col("vlen") / 2)))
-    c1 = c1.select("field", "term", "min_sim", "vterm", "df", "vlen", "kp").distinct()
-
-    # Route 2: length window over the remaining (term, length) pairs.
-    rest = fz.filter(~F.col("by_del")).select("field", "term", "min_sim", "vlen", "kp")
-    vocab_l = vocab.withColumn("vlen", F.length("vterm"))
-    if fits_broadcast(rest, max_rows):
-        c2 = vocab_l.join(F.broadcast(rest), ["field", "vlen"])
-    else:
-        # Few distinct (field, length) keys: salt the vocabulary by term hash
-        # and replicate the (large) term side over the salts.
-        vocab_s = vocab_l.withColumn("salt", F.pmod(F.xxhash64("vterm"), F.lit(SALT_BUCKETS)))
-        rest_s = rest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
-        c2 = vocab_s.join(rest_s, ["field", "vlen", "salt"]).drop("salt")
-    cand = c1.unionByName(c2.select("field", "term", "min_sim", "vterm", "df", "vlen", "kp"))
-
-    Lc = F.length("term")
-    dist = F.call_function("levenshtein", F.col("term"), F.col("vterm"), F.col("kp"))
-    cand = cand.withColumn("dist", dist).filter(
-        fuzzy_similarity_ok(F.col("dist"), Lc, F.col("vlen"), F.col("min_sim")))
-    sim = F.lit(1.0) - F.col("dist") / F.least(Lc, F.col("vlen"))
-    weight = (sim - F.col("min_sim")) / (F.lit(1.0) - F.col("min_sim"))
-    fuzzy = cand.select("field", "term", "min_sim", "vterm", "df", weight.alias("weight"))
-    w = Window.partitionBy("field", "term", "min_sim").orderBy(F.col("weight").desc(), F.col("vterm"))
-    fuzzy = fuzzy.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= MAX_EXPANSIONS).drop("rn")
-    return exact.unionByName(fuzzy)
+    fz = t.filter("fuzzy").select("term", "min_sim", "L").distinct()
+    sims = sorted(r[0] for r in fz.select("min_sim").distinct().collect())  # options of the call, not data
+    if not sims:
+        return exact
+    words = vocab.select("vterm").distinct().withColumn("vlen", F.length("vterm"))
+    pieces = words.withColumn("min_sim", F.explode(F.array(*[F.lit(x) for x in sims]))).withColumn("tau", _tau())
+    pieces = pieces.select("vterm", "vlen", "min_sim", F.explode(_segments()).alias("s")).select(
+        "vterm", "vlen", "min_sim", F.col("s.no").alias("no"), F.substring("vterm", F.col("s.start"), F.col("s.size")).alias("piece"))
+    lengths = words.select("vlen").distinct()
+    k = F.floor((F.lit(1.0) - F.col("min_sim")) * F.least("L", "vlen")).cast("int")
+    reach = F.floor((F.lit(1.0) - F.col("min_sim")) * F.col("L")).cast("int")
+    asked = fz.withColumn("vlen", F.explode(F.sequence(F.greatest(F.col("L") - reach, F.lit(1)), F.col("L") + reach)))
+    asked = asked.join(F.broadcast(lengths) if fits_broadcast(lengths, max_rows) else lengths, "vlen").withColumn("k", k)
+    asked = asked.filter(F.abs(F.col("L") - F.col("vlen")) <= F.col("k")).withColumn("tau", _tau())
+    asked = asked.select("*", F.explode(_segments()).alias("s")).select("term", "min_sim", "L", "vlen", "k", "tau", "s.*")
+    shift, right = F.col("L") - F.col("vlen"), F.col("tau") - F.col("no")
+    lo = F.greatest(F.col("start") - F.col("no"), F.col("start") + shift - right, F.lit(1))
+    hi = F.least(F.col("start") + F.col("no"), F.col("start") + shift + right, F.col("L") - F.col("size") + 1)
+    asked = asked.withColumn("lo", lo).withColumn("hi", hi).filter(F.col("lo") <= F.col("hi"))
+    asked = asked.select("term", "min_sim", "L", "vlen", "k", "no", F.explode(F.array_distinct(F.transform(
+        F.sequence("lo", "hi"), lambda i: F.substring("term", i, F.col("size"))))).alias("piece"))
+    cand = pieces.join(asked, ["min_sim", "vlen", "no", "piece"])
+    cand = cand.withColumn("dist", F.call_function("levenshtein", F.col("term"), F.col("vterm"), F.col("k"))).filter(
+        fuzzy_similarity_ok(F.col("dist"), F.col("L"), F.col("vlen"), F.col("min_sim")))
+    sim = F.lit(1.0) - F.col("dist") / F.least("L", "vlen")
+    found = cand.select("term", "min_sim", "vterm", ((sim - F.col("min_sim")) / (F.lit(1.0) - F.col("min_sim"))).alias("weight")).distinct()
+    found = found.checkpoint(eager=True)
+    fuzzy = t.filter("fuzzy").select("field", "term", "min_sim").join(found, ["term", "min_sim"]).join(vocab, ["field", "vterm"])
+    return exact.unionByName(fuzzy.select(*exact.columns))
 
 
 def clause_matches(clauses: DataFrame, index: SearchIndex, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """G10/G11 input: one scored row per (query, word, field, expanded term, path)."""
-    exp = expand_terms(clauses, index.term_df, max_rows, index.del_index)
+    exp = expand_terms(clauses, index.term_df, max_rows)
     ce = clauses.join(exp, ["field", "term", "min_sim"]).select(
         "query_id", "word_no", "n_clauses", "field", "vterm", "df", (F.col("boost") * F.col("weight")).alias("qboost"))
     ce = ce.checkpoint(eager=True)
@@ -253,15 +204,16 @@ def clause_matches(clauses: DataFrame, index: SearchIndex, max_rows: int = BROAD
         j = post.join(F.broadcast(ce), ["field", "vterm"])
     else:
         j = post.join(ce, ["field", "vterm"])
-    n_docs = index.n_docs.scalar()  # scalar subquery
+    n_docs = F.lit(index.total) if index.total is not None else index.n_docs.scalar()
     idf = F.lit(1.0) + F.log(n_docs / (F.col("df") + F.lit(1)))
     contrib = F.sqrt(F.col("tf")) * idf * idf * F.col("qboost") * F.col("norm")
     return j.select("query_id", "word_no", "n_clauses", "field", "path", contrib.alias("w"))
 
 
-def score_hits(matches: DataFrame) -> DataFrame:
+def score_hits(matches: DataFrame, n_fields: int = 3) -> DataFrame:
     """(query_id, path, score). SHOULD semantics: a document matching
-    any clause is a hit; coord per word (fields/3) and per query (words/all).
+    any clause is a hit; coord per word (matched fields / all) and per query
+    (words / all).
 
     One shuffle on (query_id, path); the three sums below reuse it.
     """
@@ -270,13 +222,13 @@ def score_hits(matches: DataFrame) -> DataFrame:
         F.sum("w").alias("sf"), F.first("n_clauses").alias("n_clauses"))
     per_word = per_field.groupBy("query_id", "path", "word_no").agg(
         F.sum("sf").alias("sw"), F.count(F.lit(1)).alias("nf"), F.first("n_clauses").alias("n_clauses"))
-    per_word = per_word.withColumn("ws", F.col("sw") * F.col("nf") / F.lit(3.0))
+    per_word = per_word.withColumn("ws", F.col("sw") * F.col("nf") / F.lit(float(n_fields)))
     return per_word.groupBy("query_id", "path").agg(
         (F.sum("ws") * F.count(F.lit(1)) / F.first("n_clauses")).alias("score"))
 
 
 def doc_filter(docs: DataFrame, opts: SearchOptions) -> Column:
-    """G12-G16 as one predicate over document attributes (pushed to the scan)."""
+    """G12-G16 as one predicate over document attributes."""
     cond = F.lit(True)
     cols = set(docs.columns)
     langs = [x.lower() for x in opts.languages]
@@ -316,18 +268,19 @@ def filtered_docs(index: SearchIndex, opts: SearchOptions) -> DataFrame:
 def rank_hits(hits: DataFrame, start: int | None, count: int | None, sort: Sequence[Column] | None = None) -> DataFrame:
     """Add 0-based `position` per query and keep the requested slice.
 
-    A bounded slice (start and count given) is a per-query top-k: the row
-    number filter becomes a map-side WindowGroupLimit, so at most k rows per
-    query and task reach the shuffle. Otherwise every hit is numbered with a
-    distributed global sort: range partitions over (query, score, path), row
-    numbers inside a partition, and per-(partition, query) offsets from a small
-    summary, so a query with a huge hit list is spread over many tasks.
+    A bounded slice (start and count given) is a per-query top-k: Spark turns
+    the filter on the bare row number into a WindowGroupLimit, so at most
+    start + count rows per query and task reach the shuffle. Otherwise every hit
+    is numbered with a distributed global sort: range partitions over (query,
+    score, path), row numbers inside a partition, and per-(partition, query)
+    offsets from a small summary, so a query with a huge hit list is spread over
+    many tasks. Ties go by path, a caller's order included.
     """
-    order = list(sort) if sort else [F.round("score", 9).desc(), F.col("path").asc()]
+    order = [*sort, F.col("path").asc()] if sort else [F.round("score", 9).desc(), F.col("path").asc()]
     if start is not None and count is not None:
         w = Window.partitionBy("query_id").orderBy(*order)
-        r = hits.withColumn("position", (F.row_number().over(w) - 1).cast("int"))
-        return r.filter((F.col("position") >= start) & (F.col("position") < start + count))
+        r = hits.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= start + count)
+        return r.withColumn("position", (F.col("_rn") - 1).cast("bigint")).filter(F.col("_rn") > start).drop("_rn")
     s = hits.repartitionByRange("query_id", *order).sortWithinPartitions("query_id", *order)
     s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     s = s.checkpoint(eager=True)
@@ -335,8 +288,7 @@ def rank_hits(hits: DataFrame, start: int | None, count: int | None, sort: Seque
     wq = Window.partitionBy("query_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("_before", F.coalesce(F.sum("_n").over(wq), F.lit(0)))
     summ = F.broadcast(summ) if fits_broadcast(summ) else summ
-    r = s.join(summ, ["_pid", "query_id"]).withColumn(
-        "position", (F.col("_mid") - F.col("_first") + F.col("_before")).cast("int"))
+    r = s.join(summ, ["_pid", "query_id"]).withColumn("position", F.col("_mid") - F.col("_first") + F.col("_before"))
     r = r.drop("_pid", "_mid", "_first", "_n", "_before")
     if start is not None:
         r = r.filter(F.col("position") >= start)
@@ -350,11 +302,18 @@ def total_hits(queries: DataFrame, hits: DataFrame) -> DataFrame:
         "query_id", F.coalesce(F.col("total"), F.lit(0)).cast("bigint").alias("total"))
 
 
+def _has_filter(opts: SearchOptions, docs: DataFrame) -> bool:
+    return bool(opts.root_item is not None or opts.languages or opts.template or opts.extra_filters or opts.user is not None
+                or (not opts.ignore_editor_options and not opts.show_hidden and "hidden" in docs.columns))
+
+
 def hits_for(queries: DataFrame, index: SearchIndex, opts: SearchOptions | None = None, q: str = "q") -> DataFrame:
-    """All hits (query_id, score) after filters, before paging."""
+    """All hits (query_id, path, score) after filters, before paging. Without a filter no document is read."""
     opts = opts or SearchOptions()
     clauses = full_text_clauses(queries, opts, q)
-    scores = score_hits(clause_matches(clauses, index))
+    scores = score_hits(clause_matches(clauses, index), len(opts.fields) if opts.fields is not None else 3)
+    if not _has_filter(opts, index.docs):
+        return scores
     fdocs = filtered_docs(index, opts)
     h = scores.join(fdocs, "path", "left_semi") if "user_score" not in fdocs.columns else \
         scores.join(fdocs, "path").withColumn("score", F.col("score") + F.col("user_score")).drop("user_score")
@@ -363,20 +322,23 @@ def hits_for(queries: DataFrame, index: SearchIndex, opts: SearchOptions | None
 
 def result_rows(ranked: DataFrame, index: SearchIndex, totals: DataFrame) -> DataFrame:
     """(query_id, position, path, title, description, relevance, total).
-    The reference's result 'Score' is the position; relevance is kept beside it."""
-    d = index.docs.select("path", "title", F.coalesce(F.get(F.col("description"), 0), F.lit("")).alias("description"))
-    return (ranked.join(d, "path", "left").join(totals, "query_id")
+    Only the paged hits meet the index's narrow result table. The reference's
+    result 'Score' is the position; relevance is kept beside it."""
+    return (ranked.select("query_id", "position", "path", "score").join(index.result_table, "path", "left").join(totals, "query_id")
             .select("query_id", "position", "path", "title", "description",
                     F.round("score", 6).alias("relevance"), "total"))
 
 
 def search_many(queries: DataFrame, index: SearchIndex, opts: SearchOptions | None = None, q: str = "q") -> DataFrame:
-    """The whole search for a table of queries (query_id, q)."""
+    """The whole search for a table of queries (query_id, q). The hits are
+    computed once, for totals and ranking. `opts.sort` may name document columns."""
     opts = opts or SearchOptions()
-    hits = hits_for(queries, index, opts, q)
+    hits = hits_for(queries, index, opts, q).checkpoint(eager=True)
     totals = total_hits(queries, hits)
-    ranked = rank_hits(hits, opts.start, opts.count, opts.sort)
-    return result_rows(ranked, index, totals)
+    found = hits
+    if opts.sort:
+        found = hits.join(index.docs.drop("score", "query_id"), "path")
+    return result_rows(rank_hits(found, opts.start, opts.count, opts.sort), index, totals)
 
 
 def match_all(index: SearchIndex, opts: SearchOptions | None = None, query_id: int = 0) -> DataFrame:

@@ -1,8 +1,8 @@
 """Size checks behind every broadcast.
 
-A side is broadcast only after its row count is checked against a bound; the
-count reads at most bound+1 rows. Above the bound the caller's shuffle plan is
-used instead.
+A side is broadcast only if its rows and its bytes are within bounds; beyond
+them the caller's shuffle plan is used. Callers check frames that are
+checkpointed or cheap to compute: the check aggregates them once, in parallel.
 """
 
 from __future__ import annotations
@@ -10,17 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a broadcast side may hold. Expansion rows are ~100 bytes, so the bound is
-# ~200 MB at most, well under the 8 GB broadcast limit and executor memory.
+#: Rows and bytes of text that a broadcast side may hold.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """(df with a broadcast hint if it is small enough, whether it was)."""
-    if fits_broadcast(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    width = sum(text, F.lit(16 * len(df.columns)))
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes

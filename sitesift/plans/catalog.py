@@ -399,7 +399,7 @@ def q_total_hits(spark, sf):
 
 
 RANKED_SQL = """, rk AS (SELECT query_id, path, score,
-       CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, path) - 1 AS INTEGER) AS position,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, path) - 1 AS BIGINT) AS position,
        count(*) OVER (PARTITION BY query_id) AS total FROM sc)"""
 
 
@@ -433,7 +433,7 @@ def q_result_rows(spark, sf):
 
 @register("sort_hits", f"""{Q.search_ctes(Q.BENCH_QUERIES)},
 rs AS (SELECT sc.query_id, sc.path, dx.title,
-       CAST(row_number() OVER (PARTITION BY sc.query_id ORDER BY dx.title, sc.path) - 1 AS INTEGER) AS position
+       CAST(row_number() OVER (PARTITION BY sc.query_id ORDER BY dx.title, sc.path) - 1 AS BIGINT) AS position
        FROM sc JOIN dx ON dx.path = sc.path)
 SELECT query_id, position, path, title FROM rs WHERE position < 10""")
 def q_sort_hits(spark, sf):
@@ -472,7 +472,7 @@ def q_filter_language(spark, sf):
 
 @register("match_all", f"""WITH {Q.documents_index_ctes()},
 f AS (SELECT path, title FROM dx WHERE lower(language) IN ('es'))
-SELECT CAST(0 AS BIGINT) AS query_id, CAST(row_number() OVER (ORDER BY path) - 1 AS INTEGER) AS position, path, title,
+SELECT CAST(0 AS BIGINT) AS query_id, CAST(row_number() OVER (ORDER BY path) - 1 AS BIGINT) AS position, path, title,
        CAST(count(*) OVER () AS BIGINT) AS total FROM f""")
 def q_match_all(spark, sf):
     r = SR.match_all(_doc_index(spark, sf), SR.SearchOptions(languages=["es"]))

@@ -65,7 +65,7 @@ def host(u: str) -> str:
 
 
 def well_formed(u: str) -> str:
-    return f"coalesce(regexp_matches({u}, {lit(P.WELL_FORMED_URL)}), false)"
+    return f"coalesce(regexp_matches({u}, {lit(P.WELL_FORMED_URL)}) AND NOT regexp_matches({u}, {lit(P.BAD_PERCENT)}), false)"
 
 
 def base_url(c: str, url: str) -> str:
@@ -177,8 +177,7 @@ fz AS (SELECT c.field, c.term, c.min_sim, t.term AS vterm, t.df, least(c.L, leng
 fz2 AS (SELECT field, term, min_sim, vterm, df, ((1.0 - d / mn) - min_sim) / (1.0 - min_sim) AS weight
         FROM fz WHERE d <= floor((1.0 - min_sim) * mn)
           AND CAST(1.0 AS FLOAT) - CAST(d / mn AS FLOAT) > CAST(min_sim AS FLOAT)),
-fz3 AS (SELECT * FROM fz2 QUALIFY row_number() OVER (PARTITION BY field, term, min_sim ORDER BY weight DESC, vterm) <= 1024),
-exp AS (SELECT * FROM ex UNION ALL SELECT * FROM fz3)"""
+exp AS (SELECT * FROM ex UNION ALL SELECT * FROM fz2)"""
 
 
 def scoring_ctes() -> str:

@@ -7,6 +7,7 @@ bench, local runs) sets values, and it never overrides one that is set.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,14 +50,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
     On a cluster this is set by the platform to a shared file system and is
-    used as is. Only when it is unset (local tests) a fresh local folder is
-    taken.
+    used as is; a cluster without the setting is an error. Only a local master
+    (tests, bench) gets a fresh local folder.
     """
     cdir = spark.conf.get("spark.checkpoint.dir", None)
     if not cdir:
         cdir = spark.sparkContext.getCheckpointDir()
     if not cdir:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cdir = tempfile.mkdtemp(prefix="sitesift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cdir)
     spark.sparkContext.setCheckpointDir(cdir)
     return spark.sparkContext.getCheckpointDir() or cdir
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python path, once per session, for functions that run there."""
+    context = spark.sparkContext
+    if getattr(context, "_sitesift_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = shutil.make_archive(os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="sitesift-zip-")), "sitesift"), "zip", root, "sitesift")
+    context.addPyFile(path)  # served by the driver
+    context._sitesift_shipped = True
