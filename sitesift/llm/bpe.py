@@ -166,14 +166,13 @@ class Kept(dict):
         if len(self) > self.most // 2:
             self.old = dict(self)
             self.clear()
-        out = []
-        for w in words:
-            if w not in self:
-                ids = self.old.get(w)
-                if ids is None:
-                    out.append(w)
-                else:
-                    self[w] = ids
+        out, old = [], self.old
+        for w in set(words).difference(self):
+            ids = old.get(w)
+            if ids is None:
+                out.append(w)
+            else:
+                self[w] = ids
         return out
 
 

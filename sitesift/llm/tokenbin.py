@@ -16,6 +16,7 @@ slab of texts at a time. Nothing but the texts is shuffled, once.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -66,11 +67,19 @@ def from_planes(planes: list[bytes], n_ids: int, plane: str = "byte") -> np.ndar
     return np.ascontiguousarray(cells).view(ID).ravel()
 
 
+#: Texts of ASCII and composed Latin letters (to U+017F but U+0130, whose lower case is two signs): normal form and lower case are plain here.
+_PLAIN = re.compile(r"[\x00-\x7F\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]*").fullmatch
+#: Fixed value: the tokenizer's own split, with its classes of letters, digits and white space within such texts.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u017F]+|[0-9]|[^\s0-9a-z\u00DF-\u00F6\u00F8-\u017F]+", re.ASCII).findall
+
+
 class WordEncoder:
-    """Encodes texts by the tokenizer, each distinct word once; keeps words up to a bound.
+    """Encodes texts by the tokenizer, each distinct piece or word once; keeps them up to a bound.
 
-    The tokenizer drops white space between its words, and none of its steps
-    looks across white space, so a text's ids are its words' ids in order.
+    The tokenizer lower-cases, splits into pieces, drops white space, and merges
+    within pieces alone. Plain texts are split here, and new pieces are encoded
+    as one text, whose ids are told apart by the tokens that end a piece. Other
+    texts go by words: none of the tokenizer's steps looks across white space.
     """
 
     def __init__(self, path: str):
@@ -78,18 +87,35 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept = Kept(KEPT_WORDS)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.pieces, self.words = Kept(2 * KEPT_WORDS), Kept(KEPT_WORDS // 4)
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        if not pieces:
+            return
+        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, ID)
+        cuts = (np.flatnonzero(self.ends[ids]) + 1) * ID.itemsize
+        raw, start = ids.tobytes(), 0
+        for piece, end in zip(pieces, cuts.tolist(), strict=True):
+            self.pieces[piece] = raw[start:end]
+            start = end
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
+            self.words[w] = np.array(e.ids, ID).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.encode().split() for t in texts]  # at ASCII white space
-        met: set[bytes] = set()
-        for words in cut:
-            met.update(words)
-        new = self.kept.missing(met)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.kept[w] = np.array(e.ids, ID).tobytes()
-        kept = self.kept
-        return [b"".join([kept[w] for w in words]) for words in cut]
+        plain = [bool(_PLAIN(t)) and "<|" not in t for t in texts]
+        cut = [_PIECES(t.lower()) if p else t.encode().split() for t, p in zip(texts, plain, strict=True)]
+        for kept, learn, of in ((self.pieces, self._learn_pieces, True), (self.words, self._learn_words, False)):
+            met: set = set()
+            for parts, p in zip(cut, plain, strict=True):
+                if p is of:
+                    met.update(parts)
+            learn(kept.missing(met))
+        return [b"".join(map((self.pieces if p else self.words).__getitem__, parts)) for parts, p in zip(cut, plain, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -181,24 +207,28 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     blocks are brought together by its place. Damaged blocks raise an error.
     """
 
-    piece = "file long, doc long, at long, id long, n_tokens long, ids binary, whole boolean"
+    piece = "file long, doc long, at long, id long, n_tokens long, ids binary"
 
     arrow = to_arrow_schema(T._parse_datatype_string(piece))
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (r for i in range(len(batch)) for r in batch.slice(i, 1).to_pylist()):
+                first, end, docs, out = row["first"], row["first"] + row["n_ids"], row["docs"], []
+                if whole:
+                    docs = [d for d in docs if d["start"] + d["n_tokens"] <= end]
+                else:
+                    goes_on = [] if row["open"] is None else [{"id": None, "start": row["open"], "n_tokens": None, "to": docs[0]["start"] if docs else end}]
+                    docs = goes_on + [d | {"to": end} for d in docs[-1:] if d["start"] + d["n_tokens"] > end]
+                if not docs:
+                    continue
                 ids = from_planes(row["planes"], row["n_ids"], row["plane"]).tobytes()
                 if zlib.crc32(ids) != row["crc32"]:
                     raise ValueError(f"block {row['block']} of file {row['file']} is damaged")
-                out, docs, first = [], row["docs"], row["first"]
-                if row["open"] is not None:
-                    to = docs[0]["start"] if docs else first + row["n_ids"]
-                    out.append((row["file"], row["open"], first, None, None, ids[:(to - first) * ID.itemsize], False))
                 for d in docs:
-                    a = d["start"] - first
-                    out.append((row["file"], d["start"], d["start"], d["id"], d["n_tokens"],
-                                ids[a * ID.itemsize:(a + d["n_tokens"]) * ID.itemsize], a + d["n_tokens"] <= row["n_ids"]))
+                    a = max(d["start"], first)
+                    to = d["start"] + d["n_tokens"] if whole else d["to"]
+                    out.append((row["file"], d["start"], a, d["id"], d["n_tokens"], ids[(a - first) * ID.itemsize:(to - first) * ID.itemsize]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), arrow.types, strict=True)], schema=arrow)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +236,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             ids = [b"".join(p["ids"] for p in sorted(parts, key=lambda p: p["at"])) for parts in batch.column("parts").to_pylist()]
             yield batch.drop_columns(["parts"]).append_column("ids", pa.array(ids, pa.binary()))
 
-    found = _blocks(spark, path).mapInArrow(pieces, piece)
-    broken = (found.filter("NOT whole").groupBy("file", "doc")
+    blocks = _blocks(spark, path)
+    broken = (blocks.mapInArrow(lambda batches: pieces(batches, False), piece).groupBy("file", "doc")
               .agg(F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"), F.collect_list(F.struct("at", "ids")).alias("parts"))
               .mapInArrow(join, "file long, doc long, id long, n_tokens long, ids binary"))
-    docs = found.filter("whole").select("file", "doc", "id", "n_tokens", "ids").unionByName(broken)
+    docs = blocks.mapInArrow(lambda batches: pieces(batches, True), piece).drop("at").unionByName(broken)
     return (docs.join(F.broadcast(file_starts(spark, path)), "file")  # one row per file
             .select("id", (F.col("before") + F.col("doc")).alias("start"), "n_tokens", "ids"))
 
