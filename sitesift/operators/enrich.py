@@ -12,14 +12,16 @@ from .sizing import fits_broadcast
 
 
 def item_uri(items: DataFrame) -> DataFrame:
-    return items.withColumn("item_uri", F.concat(F.lit("sitecore://"), F.col("database"), F.lit("/"), F.col("item_id")))
+    return items.withColumn("item_uri", F.concat(F.lit("item://"), F.col("database"), F.lit("/"), F.col("item_id")))
 
 
 def join_items(pages: DataFrame, items: DataFrame, header: str = "item_uri") -> DataFrame:
     """Pages with a non-empty item header pick up their item (left join);
     pages without one are kept as they are."""
     it = item_uri(items).withColumnRenamed("item_uri", "_iu")
-    return pages.join(it, (F.col(header) == F.col("_iu")) & (F.col(header) != ""), "left").drop("_iu")
+    named = F.coalesce(F.col(header) != "", F.lit(False))
+    joined = pages.filter(named).join(it, F.col(header) == F.col("_iu"), "left").drop("_iu")
+    return joined.unionByName(pages.filter(~named), allowMissingColumns=True)  # most pages name no item: they are not shuffled
 
 
 def missing_items(pages: DataFrame, items: DataFrame, header: str = "item_uri") -> DataFrame:
@@ -43,11 +45,10 @@ def version_fields(df: DataFrame, templates: DataFrame) -> DataFrame:
 
 
 def special_fields(df: DataFrame) -> DataFrame:
-    """Extra names (item name, display name), icon, creator, editor,
-    template name, created, updated."""
-    return df.withColumn("name", F.concat(F.coalesce(F.col("name_base"), F.array().cast("array<string>")),
-                                          F.array(F.col("item_name"), F.col("display_name")))) \
-        .withColumn("creator", F.col("created_by")).withColumn("editor", F.col("updated_by"))
+    """Item name and display name (`names`, to be added to the document's
+    names), icon, creator, editor and template name of items."""
+    return df.withColumns({"item_name": F.col("name"), "names": F.array("name", "display_name"),
+                           "creator": F.col("created_by"), "editor": F.col("updated_by")})
 
 
 def all_templates(items: DataFrame, templates: DataFrame, bases: DataFrame) -> DataFrame:

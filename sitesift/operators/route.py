@@ -51,6 +51,11 @@ def route_status(status: Column, depth: Column, reason: Column) -> Column:
             .otherwise(F.lit(ERROR)))
 
 
+def narrow_outcomes(log: DataFrame) -> DataFrame:
+    """(seq, depth, status, outcome) without the pages: enough for aborts, which depend on status and depth alone."""
+    return log.select("seq", "depth", "status", route_status(F.col("status"), F.col("depth"), F.lit(None).cast("string")).alias("outcome"))
+
+
 def outcomes(parsed: DataFrame, custom: Column | None = None, adhere: bool = True) -> DataFrame:
     """Outcome and reason per fetch (parsed columns kept)."""
     r = skip_reason(custom, adhere)
@@ -83,15 +88,12 @@ def limit_time(df: DataFrame, seconds: int) -> DataFrame:
     return df.filter(F.col("fetched_at") <= start + F.make_dt_interval(secs=F.lit(seconds)))
 
 
-EVENT_NAMES = {INDEXED: "SiteCrawler:DocumentUpdated", NOT_FOUND: "SiteCrawler:DocumentNotFound",
-               ERROR: "SiteCrawler:DocumentError", ABORT: "SiteCrawler:DocumentError"}
+EVENT_NAMES = {INDEXED: "document_updated", NOT_FOUND: "document_not_found", ERROR: "document_error", ABORT: "document_error"}
 
 
-def outcome_events(df: DataFrame) -> DataFrame:
-    """Notifications: Updated (INDEXED), NotFound, Error (ERROR or ABORT)."""
-    ev = F.when(F.col("outcome") == INDEXED, F.lit(EVENT_NAMES[INDEXED])) \
-        .when(F.col("outcome") == NOT_FOUND, F.lit(EVENT_NAMES[NOT_FOUND])) \
-        .when(F.col("outcome").isin(ERROR, ABORT), F.lit(EVENT_NAMES[ERROR]))
+def outcome_events(df: DataFrame, names: dict[str, str] = EVENT_NAMES) -> DataFrame:
+    """Notifications: updated (INDEXED), not found, error (ERROR or ABORT); `names` maps outcomes to event names."""
+    ev = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col("outcome"))
     return df.withColumn("event", ev).filter(F.col("event").isNotNull())
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import html as H
 from ..functions import patterns as P
+from ..functions import urls as U
 from ..operators import docs as DO
 from ..operators import route as R
 from ..operators.page import build_document, parse_pages
 from ..sources import tables as S
 from . import sqlparts as Q
-from .catalog import CRAWL_LOG_SQL, PAGES_META_SQL, register
+from .catalog import CRAWL_LOG_SQL, ORACLE, PAGES_META_SQL, register
 
 
 def crawl(spark, sf, compat=False):
@@ -98,8 +98,8 @@ def q_limit_time(spark, sf):
 
 
 @register("outcome_events", CRAWL_SQL + """ SELECT seq, doc_key,
-  CASE WHEN outcome = 'INDEXED' THEN 'SiteCrawler:DocumentUpdated' WHEN outcome = 'NOT_FOUND' THEN 'SiteCrawler:DocumentNotFound'
-       ELSE 'SiteCrawler:DocumentError' END AS event
+  CASE WHEN outcome = 'INDEXED' THEN 'document_updated' WHEN outcome = 'NOT_FOUND' THEN 'document_not_found'
+       ELSE 'document_error' END AS event
   FROM oc2 WHERE outcome IN ('INDEXED', 'NOT_FOUND', 'ERROR', 'ABORT')""")
 def q_outcome_events(spark, sf):
     return R.outcome_events(crawl(spark, sf)).select("seq", "doc_key", "event")
@@ -154,9 +154,10 @@ old AS (SELECT DISTINCT {Q.doc_key('url')} AS path FROM pages_meta)"""
 
 
 def _old_docs(spark, sf):
-    p = parse_pages(S.pages_meta(spark, sf))
-    d = build_document(p, tags="crawled,web")
-    return d.select("path", "title", "tags").dropDuplicates(["path"])
+    pages = S.pages_meta(spark, sf)
+    first = pages.groupBy(U.doc_key("url")).agg(F.min("page_id").alias("page_id")).select("page_id")
+    d = build_document(parse_pages(pages.join(first, "page_id", "left_semi")), tags="crawled,web")
+    return d.select("path", "title", "tags")
 
 
 UPSERT_SQL = DOCS_SQL + OLD_SQL + """,
@@ -165,9 +166,16 @@ up AS (SELECT path, CAST(NULL AS BIGINT) AS seq FROM old WHERE path NOT IN (SELE
        UNION ALL SELECT path, seq FROM last WHERE outcome = 'INDEXED')"""
 
 
+def _last_fetches(spark, sf):
+    """The log's last fetch of each key, by the narrow columns alone; only these are parsed."""
+    log = S.crawl_log(spark, sf)
+    return DO.latest_fetch(log.withColumn("_key", U.doc_key(U.effective_url("response_uri", "step_uri"))), "_key", "seq").drop("_key")
+
+
 def _upserted(spark, sf):
-    log_docs = crawl_docs(spark, sf).select("path", "title", "tags", "seq", "outcome")
-    return DO.upsert_docs(_old_docs(spark, sf), log_docs)
+    o = R.outcomes(R.parse_fetches(R.fetch_pages(_last_fetches(spark, sf), S.pages_meta(spark, sf))))
+    docs = build_document(o, tags="crawled,web", depth=F.col("depth"), run_id="run1").select("path", "title", "tags", "seq", "outcome")
+    return DO.upsert_docs(_old_docs(spark, sf), docs)
 
 
 @register("upsert_docs", UPSERT_SQL + " SELECT path, seq FROM up")
@@ -187,7 +195,7 @@ def q_latest_per_key(spark, sf):
 def q_publish_or_rollback(spark, sf):
     old = _old_docs(spark, sf).select("path", F.lit("old").alias("version"))
     new = _upserted(spark, sf).select("path", F.lit("new").alias("version"))
-    return DO.publish_or_rollback(old, new, crawl(spark, sf))
+    return DO.publish_or_rollback(old, new, R.narrow_outcomes(S.crawl_log(spark, sf)))
 
 
 @register("publish_clean", UPSERT_SQL + """ SELECT path, 'old' AS version FROM old
@@ -199,9 +207,56 @@ def q_publish_clean(spark, sf):
     plain errors (no 503 in the log): the new table is published."""
     old = _old_docs(spark, sf).select("path", F.lit("old").alias("version"))
     new = _upserted(spark, sf).select("path", F.lit("new").alias("version"))
-    log = crawl(spark, sf).withColumn(
-        "outcome", F.when((F.col("outcome") == R.ABORT) & (F.col("depth") == 0) & (F.col("status") != 503), F.lit(R.ERROR)).otherwise(F.col("outcome")))
-    return DO.publish_or_rollback(old, new, log)
+    return DO.publish_or_rollback(old, new, _without_depth0_errors(R.narrow_outcomes(S.crawl_log(spark, sf))))
+
+
+def _without_depth0_errors(log):
+    return log.filter(~((F.col("depth") == 0) & ~F.col("status").isin(200, 404, 503)))
+
+
+PUBLISH_CLEAN_SQL = ORACLE["publish_clean"]
+
+
+@register("publish_versions", PUBLISH_CLEAN_SQL)
+def q_publish_versions(spark, sf):
+    """Snapshots on disk: the old table is published as version 1, the new one written as version 2 and
+    published unless its run aborted; the published one is read back."""
+    from ..streaming.stream import scratch
+    root = scratch(spark, "snapshots")
+    DO.write_snapshot(_old_docs(spark, sf).select("path", F.lit("old").alias("version")), root, 1, True)
+    log = _without_depth0_errors(R.narrow_outcomes(S.crawl_log(spark, sf)))
+    clean = log.filter(F.col("outcome") == R.ABORT).isEmpty()
+    DO.write_snapshot(_upserted(spark, sf).select("path", F.lit("new").alias("version")), root, 2, clean)
+    return DO.read_published(spark, root)
+
+
+#: Sequence number that answers 503: three fifths through the log.
+ABORT_AT = "(SELECT max(event_id) * 3 // 5 FROM events)"
+
+
+def _log_with_503(spark, sf):
+    at = S.table(spark, sf, "events", "event_id").agg((F.max("event_id") * 3 / 5).cast("bigint")).first()[0]
+    return _without_depth0_errors(S.crawl_log(spark, sf, abort_seq=at))
+
+
+@register("abort_cut_503", CRAWL_SQL + f""", oc3 AS (SELECT seq, CASE WHEN seq = {ABORT_AT} THEN 'ABORT' ELSE outcome END AS outcome FROM oc2
+  WHERE NOT (depth = 0 AND status NOT IN (200, 404)) OR seq = {ABORT_AT})
+SELECT seq, outcome FROM oc3 WHERE seq <= {ABORT_AT}""")
+def q_abort_cut_503(spark, sf):
+    """A 503 late in the log: everything before it counts, nothing after."""
+    f = R.fetch_pages(_log_with_503(spark, sf), S.pages_meta(spark, sf))
+    return R.abort_cut(R.outcomes(R.parse_fetches(f))).select("seq", "outcome")
+
+
+@register("publish_rollback_503", UPSERT_SQL + " SELECT path, 'old' AS version FROM old")
+def q_publish_rollback_503(spark, sf):
+    """The run that meets a 503 is not published: the last good snapshot stays."""
+    from ..streaming.stream import scratch
+    root = scratch(spark, "snapshots")
+    DO.write_snapshot(_old_docs(spark, sf).select("path", F.lit("old").alias("version")), root, 1, True)
+    clean = R.narrow_outcomes(_log_with_503(spark, sf)).filter(F.col("outcome") == R.ABORT).isEmpty()
+    DO.write_snapshot(_upserted(spark, sf).select("path", F.lit("new").alias("version")), root, 2, clean)
+    return DO.read_published(spark, root)
 
 
 @register("replace_tag", f"""WITH {PAGES_META_SQL},
@@ -229,5 +284,3 @@ def q_recover_published(spark, sf):
 def q_read_pages(spark, sf):
     return S.read_pages(spark, sf).select("page_id", "url", F.length("html").alias("n_chars"))
 
-
-_ = H  # html helpers used through route/page

@@ -12,7 +12,7 @@ from ..operators.page import parse_pages
 from ..sources import tables as S
 from . import sqlparts as Q
 from .catalog import register
-from .catalog_crawl import CRAWL_SQL, crawl
+from .catalog_crawl import CRAWL_SQL, DOCS_SQL, crawl
 
 
 def _guid_sql(prefix: str, n: str) -> str:
@@ -31,13 +31,13 @@ items AS (
          CAST(p_partkey % 4 + 1 AS INTEGER) AS version, CAST(p_partkey % 12 AS BIGINT) AS template_no,
          CAST(p_partkey % 5 AS INTEGER) AS n_versions
   FROM part),
-iu AS (SELECT *, 'sitecore://' || database || '/' || item_id AS item_uri FROM items),
+iu AS (SELECT *, 'item://' || database || '/' || item_id AS item_uri FROM items),
 templates AS (SELECT CAST(t AS BIGINT) AS template_no, {_guid_sql('template', 't')} AS template_id FROM range(12) r(t)),
 tbases AS (SELECT CAST(t AS BIGINT) AS template_no, 1 AS ord, CAST((t + 1) % 12 AS BIGINT) AS base_no FROM range(6) r(t)
            UNION ALL SELECT CAST(t AS BIGINT), 2, CAST((t + 5) % 12 AS BIGINT) FROM range(6) r(t)),
 hdr AS (SELECT page_id, CASE WHEN page_id % 9 = 4 THEN NULL
-                             WHEN page_id % 17 = 5 THEN 'sitecore://master/' || {_guid_sql('missing', 'page_id')}
-                             ELSE 'sitecore://master/' || {_guid_sql('item', 'page_id + 1')} END AS item_uri FROM pages)"""
+                             WHEN page_id % 17 = 5 THEN 'item://master/' || {_guid_sql('missing', 'page_id')}
+                             ELSE 'item://master/' || {_guid_sql('item', 'page_id + 1')} END AS item_uri FROM pages)"""
 
 
 def _sid(x: str) -> str:
@@ -78,12 +78,10 @@ def q_version_fields(spark, sf):
 
 
 @register("special_fields", f"""SELECT p_partkey AS item_no, p_name AS item_name, p_brand || ' ' || p_name AS display_name,
-  'icons/' || lower(replace(p_type, ' ', '_')) || '.png' AS icon, 'sitecore\\user' || CAST(p_partkey % 7 AS VARCHAR) AS creator,
-  'sitecore\\user' || CAST(p_partkey % 5 AS VARCHAR) AS editor, p_type AS template_name FROM part""")
+  'icons/' || lower(replace(p_type, ' ', '_')) || '.png' AS icon, 'cms\\user' || CAST(p_partkey % 7 AS VARCHAR) AS creator,
+  'cms\\user' || CAST(p_partkey % 5 AS VARCHAR) AS editor, p_type AS template_name FROM part""")
 def q_special_fields(spark, sf):
-    i = S.items(spark, sf)
-    return i.select("item_no", F.col("name").alias("item_name"), "display_name", "icon",
-                    F.col("created_by").alias("creator"), F.col("updated_by").alias("editor"), "template_name")
+    return EN.special_fields(S.items(spark, sf)).select("item_no", "item_name", "display_name", "icon", "creator", "editor", "template_name")
 
 
 @register("all_templates", f"""WITH {ITEMS_SQL},
@@ -266,13 +264,16 @@ def q_stream_latest(spark, sf):
     return ST.read_current(spark, out).select("doc_key", "seq", "outcome")
 
 
-@register("stream_index", CRAWL_SQL + """ SELECT doc_key AS path, seq FROM (
-  SELECT doc_key, max(seq) AS seq, arg_max(outcome, seq) AS outcome FROM oc2 GROUP BY doc_key) WHERE outcome = 'INDEXED'""")
+@register("stream_index", DOCS_SQL + """ SELECT path, seq, title, text, CAST(len(list_concat([text, title], ks, ds)) AS INTEGER) AS n_content,
+  CASE WHEN len(ds) = 0 THEN '' ELSE ds[1] END AS description, depth, 'crawled' AS tags, CAST(1.0 AS DOUBLE) AS boost, path AS doc_group
+  FROM dk WHERE outcome = 'INDEXED' AND seq = (SELECT max(d2.seq) FROM dk d2 WHERE d2.path = dk.path)""")
 def q_stream_index(spark, sf):
     from ..streaming import stream as ST
     root, ck = ST.scratch(spark, "docs"), ST.scratch(spark, "docs-ck")
     ST.stream_index(_fetch_files(spark, sf), root, ck)
-    return ST.indexed_documents(spark, root).select(F.col("doc_key").alias("path"), "seq")
+    return ST.indexed_documents(spark, root).select(
+        F.col("doc_key").alias("path"), "seq", "title", F.get(F.col("content"), 0).alias("text"), F.size("content").alias("n_content"),
+        F.get(F.col("description"), 0).alias("description"), "depth", "tags", "boost", "doc_group")
 
 
 # ---------------------------------------------------------------- search filters on an item-enriched page index
@@ -312,7 +313,6 @@ def _filtered_search(spark, sf, opts):
     from ..operators import search as SR
     from . import flows
     idx = enriched_page_index(spark, sf)
-    opts.start, opts.count = 0, 10
     return SR.search_many(flows.benchmark_queries(spark, sf), idx, opts)
 
 
@@ -345,7 +345,7 @@ def q_filter_template(spark, sf):
 @register("prefer_user")
 def q_prefer_user(spark, sf):
     from ..operators.search import SearchOptions
-    return _filtered_search(spark, sf, SearchOptions(user="sitecore\\user3", user_boost=1.0))
+    return _filtered_search(spark, sf, SearchOptions(user="cms\\user3", user_boost=1.0))
 
 
 @register("write_results")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.urls import doc_key
 from ..operators.index import SearchIndex, build_index
 from ..operators.page import build_document, documents_as_index, parse_pages
 from ..operators.search import SearchOptions, search_many
@@ -13,17 +14,9 @@ from ..sources import tables as S
 
 def page_documents(spark: SparkSession, sf_dir: str, tags: str = "crawled", boost: float = 1.0) -> DataFrame:
     """pages → parsed → index documents (one per distinct key, last page id wins)."""
-    parsed = parse_pages(S.read_pages(spark, sf_dir))
-    docs = build_document(parsed, tags=tags, boost=boost)
-    return latest_per_key(docs, "path", "page_id")
-
-
-def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """H3: the row with the greatest `order` per `key` (max_by over a struct:
-    a hash aggregate with map-side partial combine, no sort of the group)."""
-    cols = [c for c in df.columns if c != key]
-    agg = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(order)).alias("_r"))
-    return agg.select(key, *[F.col("_r." + c).alias(c) for c in cols])
+    pages = S.read_pages(spark, sf_dir)
+    last = pages.groupBy(doc_key("url")).agg(F.max("page_id").alias("page_id")).select("page_id")
+    return build_document(parse_pages(pages.join(last, "page_id", "left_semi")), tags=tags, boost=boost)
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

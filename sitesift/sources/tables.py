@@ -119,8 +119,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"),
         F.concat(F.col("p_brand"), F.lit(" "), F.col("p_name")).alias("display_name"),
         F.concat(F.lit("icons/"), F.lower(F.regexp_replace("p_type", " ", "_")), F.lit(".png")).alias("icon"),
-        F.concat(F.lit("sitecore\\user"), (k % 7).cast("string")).alias("created_by"),
-        F.concat(F.lit("sitecore\\user"), (k % 5).cast("string")).alias("updated_by"),
+        F.concat(F.lit("cms\\user"), (k % 7).cast("string")).alias("created_by"),
+        F.concat(F.lit("cms\\user"), (k % 5).cast("string")).alias("updated_by"),
         F.concat(F.lit("2024"), F.lpad(((k % 12) + 1).cast("string"), 2, "0"), F.lit("01T000000")).alias("created"),
         F.concat(F.lit("2025"), F.lpad(((k % 12) + 1).cast("string"), 2, "0"), F.lit("15T120000")).alias("updated"),
         F.col("p_type").alias("template_name"),
@@ -156,13 +156,13 @@ def item_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_item_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages carrying a `sitecore-item` header: item URI of item page_id+1 for
+    """Pages carrying a item header: item URI of item page_id+1 for
     most pages, a missing item for page_id % 17 == 5, none for page_id % 9 == 4."""
     p = table(spark, sf_dir, "pages", "page_id")
     pid = F.col("page_id")
     uri = F.when(pid % 9 == 4, F.lit(None).cast("string")).when(
-        pid % 17 == 5, F.concat(F.lit("sitecore://master/"), _guid("missing", pid))
-    ).otherwise(F.concat(F.lit("sitecore://master/"), _guid("item", pid + 1)))
+        pid % 17 == 5, F.concat(F.lit("item://master/"), _guid("missing", pid))
+    ).otherwise(F.concat(F.lit("item://master/"), _guid("item", pid + 1)))
     return p.select("page_id", uri.alias("item_uri"))
 
 

@@ -2,8 +2,8 @@
 
 The fetch log arrives as Parquet files. Routing is stateless; the seen-set and
 the latest state per key are Spark-managed state; the document table is kept
-current by `foreachBatch` upserts that write one table version per micro-batch
-(idempotent per epoch, so a retried batch rewrites the same version). Order
+current by `foreachBatch` upserts that rewrite the parts a micro-batch touches,
+one version per batch (a retried batch rewrites the same version). Order
 between fetches of a key is by `seq`, never by arrival, so late files lose to
 newer fetches already applied.
 """
@@ -69,51 +69,76 @@ def run_latest(df: DataFrame, out: str, ckpt: str) -> None:
     """Run an aggregate stream; each batch's updated keys are merged into a
     versioned Parquet table (update mode through foreachBatch)."""
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        prev = _current(spark, out)
-        merged = batch if prev is None else latest_fetch(prev.unionByName(batch), "doc_key", "seq")
-        merged.write.mode("overwrite").parquet(f"{out}/v={epoch:09d}")
-        spark.createDataFrame([(epoch,)], "version long").write.mode("append").parquet(f"{out}/_versions")
-
-    q = (df.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).outputMode("update")
+    _check_start(df.sparkSession, out, ckpt)
+    q = (df.writeStream.foreachBatch(lambda batch, epoch: merge_batch(batch, epoch, out)).option("checkpointLocation", ckpt).outputMode("update")
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def _current(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        v = spark.read.parquet(f"{root}/_versions").agg(F.max("version")).first()[0]
-    except Exception:  # noqa: BLE001 - no version written yet
-        return None
-    return None if v is None else spark.read.parquet(f"{root}/v={v:09d}")
+#: Parts of a streamed table, by key; a batch rewrites only the parts that it touches.
+BUCKETS = 64
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _check_start(spark: SparkSession, root: str, ckpt: str) -> None:
+    """A table goes on with its own stream checkpoint; a new one would count its batches from 0 again."""
+    if _exists(spark, f"{root}/_versions") and not _exists(spark, ckpt):
+        raise ValueError(f"{root} was written under another stream checkpoint than {ckpt}")
+
+
+def _paths(spark: SparkSession, root: str, before: int | None = None) -> dict[int, str]:
+    """Part to folder of its newest version (below batch `before`); an unreadable table is an error, not an empty one."""
+    if not _exists(spark, f"{root}/_versions"):
+        return {}
+    marks = spark.read.schema("bucket int, version long").parquet(f"{root}/_versions")
+    if before is not None:
+        marks = marks.filter(F.col("version") < before)
+    newest = marks.groupBy("bucket").agg(F.max("version").alias("v")).collect()  # BUCKETS rows at most
+    return {r["bucket"]: f"{root}/data/v={r['v']:09d}/part={r['bucket']}" for r in newest}
+
+
+def merge_batch(batch: DataFrame, epoch: int, root: str) -> None:
+    """Merge one micro-batch into the table: the last row of each doc_key by seq stays.
+
+    Batch `epoch` reads the versions below it and writes version `epoch` of the
+    parts that it touches, then its marks, each by overwriting: a batch that is
+    repeated after a failure gives the same table.
+    """
+    spark = batch.sparkSession
+    part = F.pmod(F.xxhash64("doc_key"), F.lit(BUCKETS)).cast("int")
+    last = latest_fetch(batch, "doc_key", "seq").withColumn("part", part).checkpoint(eager=True)
+    touched = sorted(r[0] for r in last.select("part").distinct().collect())
+    old = _paths(spark, root, epoch)
+    paths = [old[b] for b in touched if b in old]
+    merged = last
+    if paths:
+        prev = spark.read.schema(last.drop("part").schema).parquet(*paths).withColumn("part", part)
+        merged = latest_fetch(prev.unionByName(last), "doc_key", "seq")
+    merged.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{root}/data/v={epoch:09d}")
+    marks = spark.createDataFrame([(b, epoch) for b in touched], "bucket int, version long")
+    marks.coalesce(1).write.mode("overwrite").parquet(f"{root}/_versions/batch={epoch:09d}")
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    cur = _current(spark, root)
-    if cur is None:
+    paths = _paths(spark, root)
+    if not paths:
         raise ValueError(f"no version under {root}")
-    return cur
+    return spark.read.parquet(*paths.values())
 
 
 def stream_index(fetch_stream: DataFrame, root: str, ckpt: str, tags: str = "crawled", boost: float = 1.0) -> None:
-    """Per-page delete-then-add applied batch by batch. The table keeps the
-    last fetch per key (tombstones for non-INDEXED ones) so a later batch with
-    an older seq cannot resurrect a deleted page; `indexed_documents` reads the
-    live documents."""
+    """Per-page delete-then-add applied batch by batch, with every field of
+    the document. The table keeps the last fetch per key (tombstones for
+    non-INDEXED ones) so a later batch with an older seq cannot resurrect a
+    deleted page; `indexed_documents` reads the live documents."""
     o = R.outcomes(R.parse_fetches(fetch_stream))
-    docs = build_document(o, tags=tags, boost=boost, depth=F.col("depth")).select(
-        F.col("path").alias("doc_key"), "seq", "outcome", "title", "depth", "tags", "boost")
-
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        last = latest_fetch(batch, "doc_key", "seq")
-        prev = _current(spark, root)
-        merged = last if prev is None else latest_fetch(prev.unionByName(last), "doc_key", "seq")
-        merged.write.mode("overwrite").parquet(f"{root}/v={epoch:09d}")
-        spark.createDataFrame([(epoch,)], "version long").write.mode("append").parquet(f"{root}/_versions")
-
-    q = (docs.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
+    docs = build_document(o, tags=tags, boost=boost, depth=F.col("depth")).withColumnRenamed("path", "doc_key")
+    _check_start(fetch_stream.sparkSession, root, ckpt)
+    q = (docs.writeStream.foreachBatch(lambda batch, epoch: merge_batch(batch, epoch, root)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
