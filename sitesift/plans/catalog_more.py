@@ -295,6 +295,7 @@ def enriched_page_index(spark, sf):
                    F.col("created_by").alias("creator"), F.col("updated_by").alias("editor"),
                    short_id(F.col("item_id")).alias("item_sid"))
     d = docs.join(hdr, "page_id", "left").join(it, "item_uri", "left")
+    d = d.filter(F.col("item_uri").isNull() | (F.col("item_uri") == "") | F.col("db").isNotNull())  # a page that names a missing item is not indexed
     return build_index(d, checkpoint=True)
 
 
@@ -316,25 +317,70 @@ def _filtered_search(spark, sf, opts):
     return SR.search_many(flows.benchmark_queries(spark, sf), idx, opts)
 
 
-@register("filter_subtree")
+# SQL of the same index: the last page of each key with its item's attributes, then the shared scoring.
+_VALUES = "list_transform(list_filter(ms, lambda m: lower(m.name) = '{name}'), lambda m: " + Q.trim_ws("m.content") + ")"
+ENRICHED_SQL = ANC_SQL + f""",
+epg AS (SELECT page_id, {Q.doc_key('url')} AS path, {Q.title('c')} AS title, {Q.text('c')} AS text, {Q.metas('c')} AS ms
+        FROM (SELECT page_id, url, {Q.clean("coalesce(html, '')")} AS c FROM pages)
+        QUALIFY row_number() OVER (PARTITION BY path ORDER BY page_id DESC) = 1),
+dx AS (SELECT e.path, e.title, e.text, {_VALUES.format(name='description')} AS ds, {_VALUES.format(name='keywords')} AS ks,
+              i.database AS db, i.language, {_sid('t.template_id')} AS template, a.hid AS hidden, a.path AS item_path,
+              'cms\\user' || CAST(i.item_no % 7 AS VARCHAR) AS creator, 'cms\\user' || CAST(i.item_no % 5 AS VARCHAR) AS editor
+       FROM epg e LEFT JOIN hdr h ON h.page_id = e.page_id LEFT JOIN iu i ON i.item_uri = h.item_uri
+       LEFT JOIN templates t ON t.template_no = i.template_no LEFT JOIN anc a ON a.item_no = i.item_no
+       WHERE h.item_uri IS NULL OR h.item_uri = '' OR i.item_no IS NOT NULL),
+ftok AS (
+  SELECT path, 'content' AS field, {Q.tokens("array_to_string(list_concat([text, title], ks, ds), ' ')")} AS toks FROM dx
+  UNION ALL SELECT path, 'name', {Q.tokens('title')} FROM dx
+  UNION ALL SELECT path, 'description', {Q.tokens("array_to_string(ds, ' ')")} FROM dx),
+ft AS (SELECT path, field, toks, len(toks) AS n FROM ftok WHERE len(toks) > 0),
+post AS (SELECT field, term, path, CAST(count(*) AS INTEGER) AS tf, any_value(1.0 / sqrt(n)) AS norm
+         FROM (SELECT field, path, n, unnest(toks) AS term FROM ft) GROUP BY field, term, path),
+tdf AS (SELECT field, term, count(*) AS df FROM post GROUP BY field, term),
+nd AS (SELECT count(*) AS n_docs FROM dx),
+{Q.clause_ctes(Q.BENCH_QUERIES)}, {Q.expansion_ctes()}, {Q.scoring_ctes()}"""
+
+
+def _filter_sql(condition: str, extra: str = "0.0") -> str:
+    return ENRICHED_SQL + f""",
+fs AS (SELECT sc.query_id, sc.path, dx.title, CASE WHEN len(dx.ds) = 0 THEN '' ELSE dx.ds[1] END AS description, sc.score + {extra} AS score
+       FROM sc JOIN dx ON dx.path = sc.path WHERE {condition})
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, path) - 1 AS BIGINT) AS position, path, title,
+       description, round(score, 6) AS relevance, CAST(count(*) OVER (PARTITION BY query_id) AS BIGINT) AS total FROM fs"""
+
+
+_SHOWN = "NOT coalesce(dx.hidden, false)"
+
+
+def _below(item_no: int) -> str:
+    return (f"list_contains(string_split(lower(coalesce(dx.item_path, '')), ' '), "
+            f"(SELECT lower({_sid('item_id')}) FROM items WHERE item_no = {item_no}))")
+
+
+def _like_item(item_no: int) -> str:
+    return (f"lower(dx.db) = (SELECT lower(database) FROM items WHERE item_no = {item_no}) "
+            f"AND lower(dx.language) = (SELECT lower(language) FROM items WHERE item_no = {item_no})")
+
+
+@register("filter_subtree", _filter_sql(f"{_below(1)} AND {_like_item(1)}"))
 def q_filter_subtree(spark, sf):
     from ..operators.search import SearchOptions
     return _filtered_search(spark, sf, SearchOptions(root_item=_root(spark, sf, 1), ignore_editor_options=True))
 
 
-@register("filter_section")
+@register("filter_section", _filter_sql(f"{_below(4)} AND {_below(1)} AND {_like_item(4)} AND {_SHOWN}"))
 def q_filter_section(spark, sf):
     from ..operators.search import SearchOptions
     return _filtered_search(spark, sf, SearchOptions(root_item=_root(spark, sf, 4, section_no=1)))
 
 
-@register("filter_hidden")
+@register("filter_hidden", _filter_sql(f"lower(dx.language) IN ('en', 'de', 'fr-fr') AND {_SHOWN}"))
 def q_filter_hidden(spark, sf):
     from ..operators.search import SearchOptions
     return _filtered_search(spark, sf, SearchOptions(languages=["en", "de", "fr-FR"]))
 
 
-@register("filter_template")
+@register("filter_template", _filter_sql(f"{_SHOWN} AND lower(dx.template) = (SELECT lower({_sid('template_id')}) FROM templates WHERE template_no = 3)"))
 def q_filter_template(spark, sf):
     from ..functions.text import short_id
     from ..operators.search import SearchOptions
@@ -342,7 +388,8 @@ def q_filter_template(spark, sf):
     return _filtered_search(spark, sf, SearchOptions(template=t))
 
 
-@register("prefer_user")
+@register("prefer_user", _filter_sql(_SHOWN, """CASE WHEN dx.creator = 'cms\\user3' THEN 1.0 ELSE 0.0 END
+  + CASE WHEN dx.editor = 'cms\\user3' THEN 1.0 ELSE 0.0 END"""))
 def q_prefer_user(spark, sf):
     from ..operators.search import SearchOptions
     return _filtered_search(spark, sf, SearchOptions(user="cms\\user3", user_boost=1.0))
