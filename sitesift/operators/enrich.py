@@ -75,35 +75,41 @@ def item_links(links: DataFrame, items: DataFrame) -> DataFrame:
     return g.select("item_no", F.array_join(F.transform("ls", lambda x: F.concat(F.lit(" "), x["sid"])), "").alias("item_links"))
 
 
-def ancestors(items: DataFrame, max_rounds: int = 64) -> DataFrame:
+def ancestors(items: DataFrame, with_chain: bool = True) -> DataFrame:
     """(item_no, hidden_any, chain) by pointer doubling.
 
     chain lists the item's id and all its ancestors' ids, item first;
     hidden_any is true when the item or any ancestor is hidden. Each round
-    joins every unfinished row to the row its pointer names and doubles the
-    distance covered, so depth d takes log2(d) rounds; each round is
-    checkpointed to the shared checkpoint folder.
+    joins the open rows (those whose pointer names a further ancestor) to the
+    row their pointer names and doubles the distance covered, so depth d takes
+    log2(d) rounds; finished rows are set aside. Rounds are checkpointed to the
+    shared checkpoint folder. Open rows left when the distance exceeds the
+    number of items stand on or below a cycle, which is an error. An item whose
+    parent does not exist ends its own chain. Without `with_chain` no chains
+    are built.
     """
-    s = items.select("item_no", F.col("parent_no").alias("ptr"), F.coalesce(F.col("hidden"), F.lit(False)).alias("hid"),
-                     F.array(F.upper(F.regexp_replace("item_id", "[{}-]", ""))).alias("chain")).checkpoint(eager=True)
-    for _ in range(max_rounds):
-        if s.filter(F.col("ptr").isNotNull()).isEmpty():
-            break
-        t = s.select(F.col("item_no").alias("t_no"), F.col("ptr").alias("t_ptr"), F.col("hid").alias("t_hid"),
-                     F.col("chain").alias("t_chain"))
-        j = s.join(t, s["ptr"] == t["t_no"], "left")
-        s = j.select(
-            "item_no",
-            F.when(F.col("ptr").isNull(), F.lit(None)).otherwise(F.col("t_ptr")).cast("bigint").alias("ptr"),
-            (F.col("hid") | F.coalesce(F.col("t_hid"), F.lit(False))).alias("hid"),
+    chain = F.array(F.upper(F.regexp_replace("item_id", "[{}-]", ""))) if with_chain else F.lit(None).cast("array<string>")
+    rows = items.select("item_no", F.col("parent_no").alias("ptr"), F.coalesce(F.col("hidden"), F.lit(False)).alias("hid"),
+                        chain.alias("chain")).checkpoint(eager=True)
+    done, open_rows = rows.filter(F.col("ptr").isNull()), rows.filter(F.col("ptr").isNotNull())
+    n, reach = rows.count(), 1
+    while not open_rows.isEmpty():
+        if reach > n:
+            raise ValueError(f"items in a cycle of parents, or below one: {[r[0] for r in open_rows.select('item_no').take(5)]}")
+        t = done.unionByName(open_rows).select(F.col("item_no").alias("t_no"), F.col("ptr").alias("t_ptr"), F.col("hid").alias("t_hid"),
+                                               F.col("chain").alias("t_chain"))
+        rows = open_rows.join(t, F.col("ptr") == F.col("t_no"), "left").select(
+            "item_no", F.col("t_ptr").alias("ptr"), (F.col("hid") | F.coalesce(F.col("t_hid"), F.lit(False))).alias("hid"),
             F.when(F.col("t_chain").isNull(), F.col("chain")).otherwise(F.concat("chain", "t_chain")).alias("chain"),
         ).checkpoint(eager=True)
-    return s.select("item_no", F.col("hid").alias("hidden_any"), "chain")
+        done, open_rows = done.unionByName(rows.filter(F.col("ptr").isNull())), rows.filter(F.col("ptr").isNotNull())
+        reach *= 2
+    return done.select("item_no", F.col("hid").alias("hidden_any"), "chain")
 
 
 def hidden_flag(items: DataFrame) -> DataFrame:
     """(item_no, hidden) — hidden if the item or an ancestor is."""
-    return ancestors(items).select("item_no", F.col("hidden_any").alias("hidden"))
+    return ancestors(items, with_chain=False).select("item_no", F.col("hidden_any").alias("hidden"))
 
 
 def item_path(items: DataFrame) -> DataFrame:

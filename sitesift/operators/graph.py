@@ -53,17 +53,16 @@ def crawl_reach(seeds: DataFrame, edges: DataFrame, max_depth: int = 0, src: str
 
     Edges are hash-partitioned by source once and checkpointed, so every level
     joins the (small) frontier to them without re-shuffling the edges. Each
-    level's frontier and the seen set are checkpointed to the shared checkpoint
-    folder (lineage stays one level long; a lost executor recomputes one
-    level). Stops when the frontier is empty or at `max_depth` (> 0).
+    level's new nodes are checkpointed to the shared checkpoint folder once; the
+    seen set is the union of the levels and is not rewritten. Stops when the frontier is empty or at `max_depth` (> 0).
     """
     spark = edges.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct() \
         .repartition(n, "node").checkpoint(eager=True)
-    seen = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)).repartition(n, "node") \
+    frontier = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)).repartition(n, "node") \
         .checkpoint(eager=True)
-    frontier = seen
+    seen = frontier
     depth = 0
     while max_depth <= 0 or depth < max_depth:
         depth += 1
@@ -72,8 +71,7 @@ def crawl_reach(seeds: DataFrame, edges: DataFrame, max_depth: int = 0, src: str
         nxt = nxt.repartition(n, "node").checkpoint(eager=True)
         if nxt.isEmpty():
             break
-        seen = seen.unionByName(nxt).repartition(n, "node").checkpoint(eager=True)
-        frontier = nxt
+        seen, frontier = seen.unionByName(nxt), nxt
     return seen
 
 

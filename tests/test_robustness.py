@@ -126,3 +126,18 @@ def test_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def _tree(spark, *edges):
+    return spark.createDataFrame([(i, p, False, f"{{id-{i}}}") for i, p in edges], "item_no long, parent_no long, hidden boolean, item_id string")
+
+
+def test_ancestors_of_a_deep_tree(spark):
+    deep = [(0, None), *[(i, i - 1) for i in range(1, 70)], (100, 999)]
+    got = {r["item_no"]: r["chain"] for r in EN.ancestors(_tree(spark, *deep)).collect()}
+    assert got[69] == [f"ID{i}" for i in range(69, -1, -1)] and got[0] == ["ID0"] and got[100] == ["ID100"]
+
+
+def test_cycle_of_parents_is_reported(spark):
+    with pytest.raises(ValueError, match="cycle"):
+        EN.ancestors(_tree(spark, (1, 2), (2, 1), (3, None))).collect()
