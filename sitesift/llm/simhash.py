@@ -104,7 +104,6 @@ def _forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) that span the components of distinct ``fp`` at ``radius`` (three) differing bits or fewer."""
     spark = prints.sparkSession
-    rows = prints.select("fp", F.lit(0).cast("long").alias("mask"))
     found = None
     schema = "a long, b long"
 
@@ -114,9 +113,12 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pd.DataFrame(np.array(out, np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
 
     for level, below in enumerate(_levels(), 1):
-        masks = spark.createDataFrame([(_signed(m), [_signed(x) for x in xs]) for m, xs in below.items()], "mask long, masks array<long>")
-        rows = (rows.join(F.broadcast(masks), "mask")  # a fixed table: 1, 15 or 225 rows
-                .select("fp", F.explode("masks").alias("mask")).withColumn("key", F.expr("fp & mask")))
+        if level == 1:
+            rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(x)) for x in below[0]])).alias("mask"))
+        else:
+            masks = spark.createDataFrame([(_signed(m), [_signed(x) for x in xs]) for m, xs in below.items()], "mask long, masks array<long>")
+            rows = rows.join(F.broadcast(masks), "mask").select("fp", F.explode("masks").alias("mask"))  # fixed tables: 15 and 225 rows
+        rows = rows.withColumn("key", F.expr("fp & mask"))
         if level > 1:
             rows = rows.distinct()  # two ways lead to one bucket
         large = None
