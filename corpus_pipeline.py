@@ -38,9 +38,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with its bytes back from them as a checksum."""
-    encoded = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"))
-    decoded = bpe.decode_documents(encoded.drop("text"))
-    return decoded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+    return bpe.round_trip(docs.select("doc_id", "lang", "source", "text")).select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

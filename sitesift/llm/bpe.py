@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, table
+from .common import add_columns, keep, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Rows decoded at once.
 ROWS = 500
 #: Words whose ids a task keeps (a speed matter only: a word that went is merged again).
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 ID = np.dtype("<u4")
 
 
@@ -154,25 +154,25 @@ class MergeReplay:
         return out
 
 
-class Kept(dict):
-    """Word to ids. What was not asked for since the last half-filling goes when the bound is reached."""
+class Kept:
+    """Word to ids (``now``). What was not asked for since the last half-filling goes when the bound is reached."""
 
     def __init__(self, most: int):
-        super().__init__()
-        self.most, self.old = most, {}
+        self.most = most
+        self.now: dict = {}
+        self.old: dict = {}
 
-    def missing(self, words: Iterable[str]) -> list[str]:
+    def missing(self, words: Iterable) -> list:
         """The words that are not known; those known from before are taken over."""
-        if len(self) > self.most // 2:
-            self.old = dict(self)
-            self.clear()
-        out, old = [], self.old
-        for w in set(words).difference(self):
+        if len(self.now) > self.most // 2:
+            self.old, self.now = self.now, {}
+        out, old, now = [], self.old, self.now
+        for w in set(words).difference(now):
             ids = old.get(w)
             if ids is None:
                 out.append(w)
             else:
-                self[w] = ids
+                now[w] = ids
         return out
 
 
@@ -209,28 +209,28 @@ class Encoder:
 
     def _learn(self, words: Iterable[str]) -> None:
         new = self.pieces.missing(words)
+        now = self.pieces.now
         for w, ids in zip(new, self.replay.encode([w.encode() for w in new]), strict=True):
-            self.pieces[w] = struct.pack(f"<{len(ids)}I", *ids)
+            now[w] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self._chunks(t) for t in texts]
-        kept, pieces = self.chunks, self.pieces
         met: set[str] = set()
         for chunks in cut:
             met.update(chunks[1:])
-        new = [(c, self.words_of(f" {c}")) for c in kept.missing(met)]
+        new = [(c, self.words_of(f" {c}")) for c in self.chunks.missing(met)]
         first = [self.words_of(chunks[0]) for chunks in cut]
         self._learn({w for words in first for w in words}.union(*[words for _, words in new]))
+        kept, pieces = self.chunks.now, self.pieces.now
         for c, words in new:
             kept[c] = b"".join([pieces[w] for w in words])
         return [b"".join([pieces[w] for w in words] + [kept[c] for c in chunks[1:]])
                 for words, chunks in zip(first, cut, strict=True)]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return keep(f"bpe {path}", lambda: Encoder(path))
 
 
 def encode_documents(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -244,34 +244,52 @@ def encode_documents(docs: DataFrame, text_col: str = "text", path: str | None =
         ids = encoder(path or vocabulary_path()).encode(texts)
         return {"ids": ids, "n_tokens": [len(x) // ID.itemsize for x in ids]}
 
-    return add_columns(docs, {"ids": "binary", "n_tokens": "long"}, text_col, make)
+    return add_columns(docs, {"ids": "binary", "n_tokens": "long"}, text_col, make, keeps=True)
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id."""
+    ranks = load_ranks(path)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def decode(ids: bytes | None, tokens: list[bytes]) -> bytes:
+    return b"".join([tokens[i] for i in np.frombuffer(ids or b"", ID).tolist()])
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes that ``ids`` stand for (null ids: none)."""
-    def tokens_of() -> list[bytes]:
-        ranks = load_ranks(path or vocabulary_path())
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        return tokens
-
     encoded = encoded.drop("decoded")
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of()
+        tokens = token_bytes(path or vocabulary_path())
         for batch in batches:
             for a in range(0, len(batch), ROWS):
                 rows = batch.slice(a, ROWS)
-                decoded = [b"".join([tokens[i] for i in np.frombuffer(x or b"", ID).tolist()]) for x in rows.column("ids").to_pylist()]
+                decoded = [decode(x, tokens) for x in rows.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(decoded, pa.binary())], names=[*rows.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
+    """``docs`` without its text, with ``ids``, ``n_tokens`` and ``decoded``: both directions in one task.
+
+    The bytes are decoded from the ids alone. Rows as in ``encode_documents``.
+    """
+    def make(texts: list[str], _) -> dict[str, list]:
+        where = path or vocabulary_path()
+        ids, tokens = encoder(where).encode(texts), token_bytes(where)
+        return {"ids": ids, "n_tokens": [len(x) // ID.itemsize for x in ids], "decoded": [decode(x, tokens) for x in ids]}
+
+    return add_columns(docs, {"ids": "binary", "n_tokens": "long", "decoded": "binary"}, text_col, make, drop=(text_col,), keeps=True)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_documents(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
-    decoded = decode_documents(encoded)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

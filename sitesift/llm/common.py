@@ -63,7 +63,23 @@ def utf8_size(text: Column) -> Column:
 
 
 #: Characters of text that a task handles at once.
-SLAB_CHARS = 2_000_000
+SLAB_CHARS = 1_000_000
+
+#: What this Python worker keeps from one task to the next, by name; workers live on through later stages.
+_KEPT: dict[str, object] = {}
+
+
+def keep(name: str, build: Callable[[], object]):
+    """The object of this name that the worker keeps, built at first; objects of other names go."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = build()
+    return _KEPT[name]
+
+
+def forget() -> None:
+    """Free what earlier stages kept in this worker."""
+    _KEPT.clear()
 
 
 def slabs(texts: list[str], chars: int = SLAB_CHARS) -> Iterator[tuple[int, int]]:
@@ -84,11 +100,12 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 
 
 def add_columns(df: DataFrame, fields: dict[str, str], text_col: str,
-                make: Callable[[list[str], pa.RecordBatch], dict[str, list]], drop: tuple[str, ...] = ()) -> DataFrame:
+                make: Callable[[list[str], pa.RecordBatch], dict[str, list]], drop: tuple[str, ...] = (), keeps: bool = False) -> DataFrame:
     """``df`` with the columns ``fields`` (name: type) that ``make`` computes from the texts of a slab of rows.
 
     ``make`` gets the texts (null as empty) and their rows. Other columns pass
     through as Arrow arrays, whatever their types; columns in ``drop`` go.
+    ``keeps``: ``make`` uses an object kept by the worker.
     """
     df = df.drop(*fields)
     kept = [f for f in df.schema.fields if f.name not in drop]
@@ -97,6 +114,8 @@ def add_columns(df: DataFrame, fields: dict[str, str], text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
+        if not keeps:
+            forget()
         for batch in batches:
             texts = texts_of(batch, text_col)
             for a, b in slabs(texts):

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import table, texts_of
+from .common import forget, table, texts_of
 from .words import hashed_words, mix, slab_bounds
 
 #: Edits per word of the item up to which a match is accepted (similarity 0.8 or more).
@@ -244,6 +244,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            forget()
             for batch in batches:
                 hit = {t for t, *_ in shared.value.find([plain(x) for x in texts_of(batch, text_col)])}
                 yield batch.filter(pa.array([i not in hit for i in range(len(batch))], pa.bool_()))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, table, written
+from .common import add_columns, forget, table, written
 
 UNKNOWN = "und"
 #: Labelled rows sampled for each language (expected number).
@@ -85,6 +85,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     chosen = rows.filter(F.expr("pmod(xxhash64(text, 7), 1000000) / 1000000.0D") < F.element_at(share, F.col("lang")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         held: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"], strict=True):

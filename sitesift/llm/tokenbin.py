@@ -19,7 +19,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .bpe import ID, KEPT_WORDS, Kept
-from .common import shared_path, shuffle_parts, slabs, table, texts_of
+from .common import keep, shared_path, shuffle_parts, slabs, table, texts_of
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -97,14 +96,14 @@ class WordEncoder:
             return
         ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, ID)
         cuts = (np.flatnonzero(self.ends[ids]) + 1) * ID.itemsize
-        raw, start = ids.tobytes(), 0
+        raw, start, now = ids.tobytes(), 0, self.pieces.now
         for piece, end in zip(pieces, cuts.tolist(), strict=True):
-            self.pieces[piece] = raw[start:end]
+            now[piece] = raw[start:end]
             start = end
 
     def _learn_words(self, words: list[bytes]) -> None:
         for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
-            self.words[w] = np.array(e.ids, ID).tobytes()
+            self.words.now[w] = np.array(e.ids, ID).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [bool(_PLAIN(t)) and "<|" not in t for t in texts]
@@ -115,12 +114,11 @@ class WordEncoder:
                 if p is of:
                     met.update(parts)
             learn(kept.missing(met))
-        return [b"".join(map((self.pieces if p else self.words).__getitem__, parts)) for parts, p in zip(cut, plain, strict=True)]
+        return [b"".join(map((self.pieces if p else self.words).now.__getitem__, parts)) for parts, p in zip(cut, plain, strict=True)]
 
 
-@lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return keep(f"words {path}", lambda: WordEncoder(path))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:

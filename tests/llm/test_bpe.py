@@ -38,5 +38,8 @@ def test_round_trip_and_odd_rows(spark, odd_docs):
         assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == lib.encode_ordinary(r["text"] or "")
         assert r["n_tokens"] * 4 == len(r["ids"])
     assert bpe.encode_documents(odd_docs.limit(0)).count() == 0
+    both = bpe.round_trip(odd_docs)
+    assert "text" not in both.columns
+    assert sorted((bytes(r["ids"]), bytes(r["decoded"])) for r in both.collect()) == sorted((bytes(r["ids"]), bytes(r["decoded"])) for r in rows)
     clash = odd_docs.withColumnRenamed("pos", "ids")
     assert bpe.encode_documents(clash).columns.count("ids") == 1
