@@ -132,12 +132,13 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Write the ids of all rows, each with ``end_id`` after it, to ``path/blocks`` and ``path/index``.
 
     Rows go in ascending id order (rows without an id first; rows of equal id by
-    their text). Every row is written, whole; a null or empty text is its end id
+    a hash of their text). Every row is written, whole; a null or empty text is its end id
     alone. An empty table gives an empty blocks table. Other columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(shuffle_parts(spark), "id", "text").sortWithinPartitions("id", "text")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
+    # by narrow keys: the range bounds come from a sample of them on the driver
+    rows = rows.repartitionByRange(shuffle_parts(spark), "id", "tie").sortWithinPartitions("id", "tie", "text").select("id", "text")
     ending = np.array([end_id], ID).tobytes()
 
     arrow = to_arrow_schema(T._parse_datatype_string(BLOCK_SCHEMA))
