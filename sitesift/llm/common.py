@@ -78,8 +78,9 @@ def keep(name: str, build: Callable[[], object]):
 
 
 def forget() -> None:
-    """Free what earlier stages kept in this worker."""
+    """Free what earlier stages kept in this worker, and give Arrow's unused memory back."""
     _KEPT.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def slabs(texts: list[str], chars: int = SLAB_CHARS) -> Iterator[tuple[int, int]]:
@@ -124,5 +125,6 @@ def add_columns(df: DataFrame, fields: dict[str, str], text_col: str,
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(n).cast(arrow.field(n).type) if n in names else pa.array(made[n], arrow.field(n).type)
                      for n in schema.names], schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker lives on, idle, through later stages
 
     return df.mapInArrow(run, schema)
