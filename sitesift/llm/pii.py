@@ -30,7 +30,8 @@ THRESHOLD = 0.6
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "national_phone")
 
-_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+#: A number up to 255 after any zeros; it may be the zeros alone, as the proposing pattern assures a digit.
+_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)"
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",

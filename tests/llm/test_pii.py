@@ -40,6 +40,17 @@ def test_base_spans_equal_brute_force(spark, odd_docs):
         assert r["s"] == brute(r["text"] or "")
 
 
+def test_zero_parts_of_addresses(spark):
+    texts = ["10.0.0.1", "0.0.0.0", "00.1.2.3", "127.0.0.1 192.168.0.12, 192.168.1.12", "255.255.255.0 256.0.0.0 000255.00.0.0256 0.0.0.260 1.00.000.099",
+             " ".join(f"{n}.0.0.{n:04}" for n in range(300))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.find_spans(docs)
+    for r in found.select("text", pii.spans_text(F.filter("spans", lambda s: s["rank"] < 4)).alias("s")).collect():
+        assert r["s"] == brute(r["text"])
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(found).collect()}
+    assert [redacted[i] for i in range(4)] == ["<IP>", "<IP>", "<IP>", "<IP> <IP>, <IP>"]
+
+
 def test_digest_columns(spark, tmp_path):
     spark.createDataFrame([(1, "me@x.org 1.2.3.4"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     rows = {r["doc_id"]: r for r in pii.op9_pii(spark, str(tmp_path)).collect()}
