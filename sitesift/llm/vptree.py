@@ -1,12 +1,15 @@
 """Operator 3: nearest neighbours by inner product, with vantage-point trees per shard.
 
 Rows are dealt by hash into shards of bounded size, and each shard gets a tree.
-Inner products become distances by one more component: with M the largest norm of
-the shard, a row x becomes (x, sqrt(M^2 - |x|^2)) and a query q becomes (q, 0);
-then |q' - x'|^2 = |q|^2 + M^2 - 2 q.x, so the nearest rows are those of largest
-inner product and the triangle inequality holds. A branch is passed over if no
-point in it can be nearer than ``factor`` times the distance of the query's k-th
-best so far; factor 1 is exact search, smaller factors prune more.
+The rows of a shard are cut into bands by norm, with a tree for each, so that a few
+long rows do not spoil the others' distances. Inner products become distances by
+one more component: with M the largest norm of the band, a row x becomes
+(x, sqrt(M^2 - |x|^2)) and a query q becomes (M q / |q|, 0); then
+|q' - x'|^2 = 2 M^2 - 2 M q.x / |q|, so the nearest rows are those of largest inner
+product, whatever the query's length, and the triangle inequality holds. A branch is
+passed over if no point in it can be nearer than ``factor`` times the distance of the
+query's k-th best so far. Factor 1, the default, is exact search for any vectors;
+smaller factors prune more, and what they lose depends on the vectors.
 
 Queries go in blocks of bounded size, each block to every shard by an equi-join
 on the shard. Equal vectors of a shard are one point with a list of ids. Scores
@@ -30,32 +33,45 @@ K = 20
 SHARD_ROWS = 16_384
 QUERY_BLOCK = 512
 LEAF = 1024
-#: Chosen by measured recall (README); 1.0 is exact.
-FACTOR = 0.15
+#: 1.0 is exact. A smaller factor that suits some vectors loses most neighbours of others.
+FACTOR = 1.0
+#: A band of at least LEAF rows ends where norms fall below this share of its largest.
+BAND = 0.8
+#: Rounding of distances, as a share of M, and of inner products, as a share of the largest possible.
+_SLACK, _ROUNDING = 1e-7, 1e-12
 SEED = 5
 
 
 class VPTree:
-    """A tree over points x' (rows of ``points``, already permuted so that a node is a run of rows)."""
+    """Trees over points x' (rows of ``points``, already permuted so that a node is a run of rows), one for each band of norms."""
 
     def __init__(self, points: np.ndarray, ids: list[np.ndarray]):
+        """``points``: by falling norm."""
         self.points, self.ids = points, ids
-        norms = (points.astype(np.float64) ** 2).sum(axis=1)
-        self.reach = float(norms.max())  # M^2
-        self.lift = np.sqrt(np.maximum(self.reach - norms, 0))
+        norms = np.sqrt((points.astype(np.float64) ** 2).sum(axis=1))
+        self.lift = np.zeros(len(points))
+        #: (root, M) of each band, by falling M
+        self.bands: list[tuple[int, float]] = []
         #: node: (first, last, vantage row, inner child, outer child, bounds of the children's distances)
         self.nodes: list[tuple] = []
+        place = np.arange(len(points))
+        rng = np.random.default_rng(SEED)
+        first = 0
+        while first < len(points):
+            last = max(min(first + LEAF, len(points)), int(np.searchsorted(-norms, -BAND * norms[first], "right")))
+            self.lift[first:last] = np.sqrt(np.maximum(norms[first] ** 2 - norms[first:last] ** 2, 0))
+            self.bands.append((self._split(place, first, last, rng), float(norms[first])))
+            first = last
+        self.points, self.lift, self.ids = points[place], self.lift[place], [ids[i] for i in place]
 
     @classmethod
     def build(cls, vectors: np.ndarray, ids: np.ndarray) -> VPTree:
         points, of = np.unique(vectors, axis=0, return_inverse=True)
         order = np.lexsort((ids, of))
         cuts = np.flatnonzero(np.diff(of[order])) + 1
-        tree = cls(points, np.split(ids[order], cuts))
-        place = np.arange(len(points))
-        tree._split(place, 0, len(place), np.random.default_rng(SEED))
-        tree.points, tree.lift, tree.ids = points[place], tree.lift[place], [tree.ids[i] for i in place]
-        return tree
+        ids = np.split(ids[order], cuts)
+        falling = np.argsort(-(points.astype(np.float64) ** 2).sum(axis=1), kind="stable")
+        return cls(points[falling], [ids[i] for i in falling])
 
     def _split(self, place: np.ndarray, first: int, last: int, rng) -> int:
         node = len(self.nodes)
@@ -73,19 +89,19 @@ class VPTree:
         bounds = (away[0], away[half - 1], away[half], away[-1])
         inner = self._split(place, first, first + half, rng)
         outer = self._split(place, first + half, last, rng)
-        self.nodes[node] = (first, last, (v, lift), inner, outer, bounds)
+        self.nodes[node] = (first, last, v, inner, outer, bounds)
         return node
 
     def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, int]:
         """(scores, looked at): inner products of queries and points, -inf where pruned or below the k-th best."""
         q = queries.astype(np.float64)
-        square = (q ** 2).sum(axis=1)
+        length = np.maximum(np.sqrt((q ** 2).sum(axis=1)), 1e-300)
         points = self.points.astype(np.float64)
         scores = np.full((len(q), len(points)), -np.inf)
         best = np.full((len(q), k), -np.inf)
         seen = 0
 
-        def visit(node: int, who: np.ndarray) -> None:
+        def visit(node: int, who: np.ndarray, reach: float) -> None:
             nonlocal seen
             if not len(who):
                 return
@@ -97,20 +113,21 @@ class VPTree:
                 both = np.concatenate([best[who], got], axis=1)
                 best[who] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
                 return
-            v, _ = vantage
-            away = np.sqrt(np.maximum(square[who] + self.reach - 2 * (q[who] @ v), 0))
+            away = np.sqrt(np.maximum(2 * reach * (reach - q[who] @ vantage / length[who]), 0))
             near = away <= (bounds[1] + bounds[2]) / 2
-            visit(inner, who[near])
-            visit(outer, who[~near])
+            visit(inner, who[near], reach)
+            visit(outer, who[~near], reach)
             for child, lo, hi, rest in ((outer, bounds[2], bounds[3], near), (inner, bounds[0], bounds[1], ~near)):
                 some, d = who[rest], away[rest]
                 worst = best[some].min(axis=1)
-                radius = np.sqrt(np.maximum(square[some] + self.reach - 2 * np.where(np.isfinite(worst), worst, -1e300), 0))
-                radius = np.where(np.isfinite(worst), factor * radius, np.inf)
-                visit(child, some[(d - radius <= hi) & (d + radius >= lo)])
-
-        visit(0, np.arange(len(q)))
-        scores[scores < best.min(axis=1)[:, None] - 1e-9] = -np.inf
+                known = np.isfinite(worst)
+                radius = np.sqrt(np.maximum(2 * reach * (reach - np.where(known, worst, 0) / length[some]), 0))
+                radius = np.where(known, factor * radius + _SLACK * reach, np.inf)
+                visit(child, some[(d - radius <= hi) & (d + radius >= lo)], reach)
+
+        for root, reach in self.bands:  # no point of a band has a larger inner product than |q| M
+            visit(root, np.flatnonzero(best.min(axis=1) <= length * reach * (1 + _ROUNDING)), reach)
+        scores[scores < (best.min(axis=1) - _ROUNDING * length * self.bands[0][1])[:, None]] = -np.inf
         return scores, seen
 
     def nearest(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float) -> Iterator[tuple[int, int, float]]:

@@ -38,6 +38,20 @@ def test_pruning_keeps_exact_results_at_one():
     assert np.allclose(np.sort(scores, axis=1)[:, -21:], want)
 
 
+def test_default_finds_all_whatever_the_norms():
+    r = np.random.default_rng(4)
+    unit = r.normal(size=(9000, 64))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    long = np.ones((len(unit), 1))
+    long[0] = 5
+    for x in (unit * long, unit * np.exp(0.3 * r.normal(size=long.shape)), unit * np.exp(5 * r.normal(size=long.shape))):
+        x = x.astype(np.float32)
+        q = np.concatenate([x[100:130], x[130:160] * np.float32(0.01), x[160:190] * np.float32(100)])
+        scores, _ = vptree.VPTree.build(x, np.arange(len(x))).search(q, 21, vptree.FACTOR)
+        want = np.sort(q.astype(float) @ x.astype(float).T, axis=1)[:, -21:]
+        assert np.allclose(np.sort(scores, axis=1)[:, -21:], want)
+
+
 def test_recall_of_the_query(spark):
     sf = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").collect()
