@@ -75,3 +75,27 @@ def test_blocks_give_the_same(spark, monkeypatch):
     whole = D.op6_decontaminate(spark, "/root/testdata/sf0.001").collect()
     monkeypatch.setattr(D, "BLOCK_WORDS", 300)
     assert sorted(map(tuple, D.op6_decontaminate(spark, "/root/testdata/sf0.001").collect())) == sorted(map(tuple, whole))
+
+
+def test_edits_side_by_side_at_every_length():
+    r = random.Random(7)
+    fresh = lambda n: [f"w{r.randrange(10 ** 9)}" for _ in range(n)]
+    items = [fresh(n) for n in range(8, 61) for _ in range(4)]
+    index = D.PassageIndex(list(range(len(items))), [" ".join(x) for x in items])
+    texts = []
+    for k, item in enumerate(items):
+        e = len(item) // 5
+        at = (0, (len(item) - e) // 2, len(item) - e, r.randint(0, len(item) - e))[k % 4]
+        put = fresh(e) if k % 3 else []
+        texts.append(" ".join(fresh(20) + item[:at] + put + item[at + e:] + fresh(20)))
+    assert {(t, i) for t, i, *_ in index.find([D.plain(t) for t in texts])} == {(i, i) for i in range(len(items))}
+
+
+def test_least_edits_equal_brute_force():
+    r = random.Random(8)
+    items = [[r.choice("abcdefgh") for _ in range(n)] for n in range(8, 31)]
+    texts = [[r.choice("abcdefgh") for _ in range(n)] for n in (0, 1, 3, 30, 300)] + [
+        [r.choice("abcdefgh")] * 3 + [w for w in x if r.random() > 0.1] for x in items]
+    index = D.PassageIndex(list(range(len(items))), [" ".join(x) for x in items])
+    want = {(t, i): e for t, x in enumerate(texts) for i, item in enumerate(items) if (e := distance(item, x)) <= 0.2 * len(item)}
+    assert {(t, i): e for t, i, e, *_ in index.find([" ".join(x).encode() for x in texts])} == want
