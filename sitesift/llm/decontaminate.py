@@ -22,6 +22,7 @@ shuffled.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -38,7 +39,9 @@ from .words import hashed_words, mix, slab_bounds
 #: Edits per word of the item up to which a match is accepted (similarity 0.8 or more).
 MAX_EDITS = 0.2
 #: Items of fewer words say too little; they are not searched.
-MIN_WORDS = 8
+MIN_WORDS = 3
+#: Items of fewer words are too short for walks; the runs alone find them.
+WALKED = 8
 WALKS, TABLES, SAMPLED = 3, 10, 7
 #: Share of a window's words that must be words of the items.
 KNOWN = 0.7
@@ -47,11 +50,15 @@ BLOCK_WORDS = 100_000
 SEED = 11
 #: Signs and white space of ASCII count as blanks; letters of other scripts are kept.
 _PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Letters of scripts without spaces between words (Thai, Lao, Tibetan, Burmese, Khmer, Chinese, Japanese, Yi and their signs): each is a word.
+_UNSPACED = re.compile("([\u0e00-\u109f\u1780-\u17ff\u19e0-\u19ff\u2e80-\u312f\u31a0-\u4dbf\u4e00-\ua4cf\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff"
+                       "\ufe30-\ufe4f\uff00-\uff0f\uff1a-\uff20\uff5b-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff])")
 _BLANK = np.array([b == 32 for b in range(256)])
 
 
 def plain(text: str | None) -> bytes:
-    return (text or "").lower().encode().translate(_PLAIN)
+    text = (text or "").lower()
+    return (text if text.isascii() else _UNSPACED.sub(r" \1 ", text)).encode().translate(_PLAIN)
 
 
 def edit_end(item: list[int], text: list[int]) -> tuple[int, int]:
@@ -168,9 +175,10 @@ class PassageIndex:
         self.runs: dict[int, Runs] = {}
         self.known = np.zeros(1 << 20, bool)
         for i, x in enumerate(self.items):
-            if len(x) >= MIN_WORDS:
+            if len(x) >= WALKED:
                 base = 1 << (len(x).bit_length() - 1)
                 self.classes.setdefault(base, WindowClass(base)).items.append(i)
+            if len(x) >= MIN_WORDS:
                 self.known[(x >> np.uint64(44)).astype(np.int64)] = True
                 cuts = [k * len(x) // (self.most[i] + 1) for k in range(self.most[i] + 2)]
                 for a, b in zip(cuts, cuts[1:], strict=False):
@@ -260,7 +268,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     All rows and whole texts are searched; null and empty texts hold nothing.
     Null or empty items, and those of fewer than MIN_WORDS words, are not
-    searched. Rows without an id are returned with a null id; repeated rows and
+    searched. A letter of a script without spaces counts as a word. Rows without an id are returned with a null id; repeated rows and
     repeated items each give their rows. Of equally good places the first counts.
     Empty tables give no rows; other columns are ignored.
     """

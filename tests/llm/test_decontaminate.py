@@ -99,3 +99,15 @@ def test_least_edits_equal_brute_force():
     index = D.PassageIndex(list(range(len(items))), [" ".join(x) for x in items])
     want = {(t, i): e for t, x in enumerate(texts) for i, item in enumerate(items) if (e := distance(item, x)) <= 0.2 * len(item)}
     assert {(t, i): e for t, i, e, *_ in index.find([" ".join(x).encode() for x in texts])} == want
+
+
+def test_short_items_and_scripts_without_spaces():
+    r = random.Random(9)
+    items = [" ".join(f"w{r.randrange(10 ** 9)}" for _ in range(n)) for n in range(3, 8) for _ in range(20)]
+    items += ["水の沸点は何度ですか", "地球上最深的海沟叫什么名字", "เมืองหลวงของประเทศไทย", "水は"]
+    texts = [f"some words before {x}, and after" for x in items[:100]] + [f"これは文書です。{x}。終わり" for x in items[100:]]
+    index = D.PassageIndex(list(range(len(items))), items)
+    found = {(t, i): e for t, i, e, *_ in index.find([D.plain(t) for t in texts])}
+    assert found == {(i, i): 0 for i in range(len(items) - 1)}  # the last has two words
+    edited = [items[100].replace("沸", "融"), items[101].replace("最", ""), items[101][:6]]
+    assert [(t, i, e) for t, i, e, *_ in index.find([D.plain(t) for t in edited])] == [(0, 100, 1), (1, 101, 1)]
