@@ -4,7 +4,8 @@ The posterior of a row's language multiplies four pieces of evidence: the text's
 likelihood under a model of letter trigrams for each language, the language that
 its markup (or its label) declares, and the host's prior, which grouped
 aggregation counts for hosts, smooths by the host's address suffix and that by
-all rows. A further hypothesis, a uniform model, stands for "none of these".
+all rows. A further hypothesis, a uniform model, stands for "none of these"; if the declared language is a known code without a model, it
+shares that likelihood.
 
 The trigram models are learned from a bounded sample of labelled rows (whole
 texts, chosen by a hash of the text). Host, suffix and overall counts cover all
@@ -28,10 +29,16 @@ from .common import add_columns, forget, table, written
 UNKNOWN = "und"
 #: Labelled rows sampled for each language (expected number).
 SAMPLE = 1500
-#: A label is a language if it has this share of the labelled rows; so there are 200 at most.
-LEAST_SHARE = 0.005
+#: A label has a model if it has so many labelled rows, however many others there are, or this share of them (small tables).
+LEAST_ROWS, LEAST_SHARE = 10, 0.005
+#: ISO 639-1. A declaration of one of these counts without a model too.
+CODES = frozenset("""aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa
+ ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb
+ lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si
+ sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu""".split())
 BUCKETS = 1 << 16
-SMOOTH = 0.5
+#: Added to each bucket's count, but over all buckets this share of a language's trigrams at most: a model of few rows is not a uniform one.
+SMOOTH, SMOOTH_SHARE = 0.5, 0.25
 #: Trigrams overlap and are not independent: their log-likelihood counts for this share.
 TEMPER = 0.25
 #: Chance that a declared language is wrong.
@@ -73,10 +80,10 @@ class TextModel:
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """Trigram models from about ``sample`` rows of each language. Null texts and labels are not labelled rows."""
+    """Trigram models from about ``sample`` rows of each language (256 KB each). Null texts and labels are not labelled rows."""
     rows = labelled.select(F.col(text_col).alias("text"), F.lower(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    sizes = counts.filter(F.col("n") >= LEAST_SHARE * counts.agg(F.sum("n")).scalar()).collect()  # 200 rows at most
+    sizes = counts.filter((F.col("n") >= LEAST_ROWS) | (F.col("n") >= LEAST_SHARE * counts.agg(F.sum("n")).scalar())).collect()
     sizes = {r["lang"]: r["n"] for r in sizes}
     languages = sorted(sizes)
     if not languages:
@@ -100,7 +107,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     found = found.toPandas()  # languages x buckets at most
     n = np.zeros((BUCKETS, len(languages)))
     n[found["bucket"].to_numpy(), [languages.index(x) for x in found["lang"]]] = found["n"].to_numpy()
-    return TextModel(languages, np.log((n + SMOOTH) / (n.sum(axis=0) + SMOOTH * BUCKETS)).astype(np.float32))
+    whole = n.sum(axis=0)
+    smooth = np.minimum(SMOOTH, SMOOTH_SHARE * np.maximum(whole, 1) / BUCKETS)
+    return TextModel(languages, np.log((n + smooth) / (whole + smooth * BUCKETS)).astype(np.float32))
 
 
 def declared_in_markup(html: Column) -> Column:
@@ -135,9 +144,12 @@ def _fused(model: TextModel, texts, declared, priors=None) -> dict[str, list]:
             score += np.log(DECLARED_WRONG / len(names))
             score[at] += np.log((1 - DECLARED_WRONG) * len(names) / DECLARED_WRONG)
         score += flat if priors is None or priors[i] is None else np.log(np.asarray(priors[i], float))
+        if at is None and said in CODES:  # half of "none of these" is the declared language
+            score[-1] += np.log(0.5)
+            score = np.r_[score + np.log(DECLARED_WRONG / len(names)), score[-1] + np.log(1 - DECLARED_WRONG)]
         p = np.exp(score - score.max())
         best = int(p.argmax())
-        out.append((names[best], float(p[best] / p.sum()), own))
+        out.append((names[best] if best < len(names) else said, float(p[best] / p.sum()), own))
     return dict(zip(("language", "probability", "text_language"), (list(x) for x in zip(*out)), strict=True)) if out else {
         "language": [], "probability": [], "text_language": []}
 
@@ -147,28 +159,29 @@ def host_priors(rows: DataFrame, model: TextModel) -> DataFrame:
 
     ``rows``: _text, _declared, _host, _suffix. A first pass by text and
     declaration alone gives each row's language; counts of hosts are smoothed by
-    their suffix's shares, these by all rows' shares.
+    their suffix's shares, these by all rows' shares. Languages without a model count as none.
     """
     names = [*model.languages, UNKNOWN]
 
     def first(texts: list[str], batch: pa.RecordBatch) -> dict[str, list]:
-        return {"language": _fused(model, texts, batch.column("_declared").to_pylist())["language"]}
+        found = _fused(model, texts, batch.column("_declared").to_pylist())["language"]
+        return {"language": [x if x in model.languages else UNKNOWN for x in found]}
 
     counted = (add_columns(rows, {"language": "string"}, "_text", first, drop=("_text", "_declared"))
                .groupBy("_host", "_suffix", "language").agg(F.count("*").alias("n")))
     each = [F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(names)]
     hosts = written(counted.groupBy("_host", "_suffix").agg(*each), "hosts")
     sums = [F.sum(f"n{i}").alias(f"s{i}") for i in range(len(names))]
-    suffixes = hosts.groupBy(F.col("_suffix").alias("_of")).agg(*sums)
+    suffixes = hosts.groupBy(F.col("_suffix").alias("_of")).agg(*sums).withColumn("_sum", F.aggregate(
+        F.array(*[f"s{i}" for i in range(len(names))]), F.lit(0.0), lambda a, b: a + b))
     whole = hosts.agg(*[F.sum(f"n{i}") for i in range(len(names))]).first()
     total = sum(x or 0 for x in whole)
     overall = [((x or 0) + 1) / (total + len(names)) for x in whole]
-    up = F.array(*[(F.col(f"s{i}") + SUFFIX_WEIGHT * overall[i]) / (sum(F.col(f"s{j}") for j in range(len(names))) + SUFFIX_WEIGHT)
-                   for i in range(len(names))])
+    up = F.array(*[(F.col(f"s{i}") + SUFFIX_WEIGHT * overall[i]) / (F.col("_sum") + SUFFIX_WEIGHT) for i in range(len(names))])
     suffixes = suffixes.select("_of", up.alias("_up"))
-    joined = hosts.join(suffixes, hosts["_suffix"].eqNullSafe(suffixes["_of"]))
-    n = sum(F.col(f"n{i}") for i in range(len(names)))
-    prior = F.array(*[(F.col(f"n{i}") + HOST_WEIGHT * F.get("_up", i)) / (n + HOST_WEIGHT) for i in range(len(names))])
+    joined = hosts.join(suffixes, hosts["_suffix"].eqNullSafe(suffixes["_of"])).withColumn("_n", F.aggregate(
+        F.array(*[f"n{i}" for i in range(len(names))]), F.lit(0.0), lambda a, b: a + b))
+    prior = F.array(*[(F.col(f"n{i}") + HOST_WEIGHT * F.get("_up", i)) / (F.col("_n") + HOST_WEIGHT) for i in range(len(names))])
     return joined.select(F.coalesce("_host", F.lit("")).alias("_key"), prior.alias("_prior"))
 
 
@@ -177,8 +190,8 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
 
     Every row is returned, with its other columns; columns of those four names
     are replaced. A text without letters (null, empty, signs only) is ``und``
-    with probability 1. A missing or unknown declaration is no evidence; rows
-    without a host share one prior. ``accepted``: a language was found with
+    with probability 1. A missing declaration, or one that is neither a model's
+    nor a known code, is no evidence; rows without a host share one prior. ``accepted``: a language was found with
     probability ACCEPT or more. No labelled rows, no languages: all ``und``.
     """
     cols = [c for c in rows.columns if c not in ("language", "probability", "text_language", "accepted")]

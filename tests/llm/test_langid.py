@@ -1,3 +1,7 @@
+import random
+
+from pyspark.sql import functions as F
+
 from sitesift.llm import langid
 
 SF = "/root/testdata/sf0.01"
@@ -33,6 +37,22 @@ def test_odd_rows_and_evidence(spark):
     assert by[5004] == ("en", True) and by[5005] == ("de", True) and by[5006] == ("en", True)
 
 
+def test_rare_languages(spark):
+    r = random.Random(2)
+    finnish = "ja on ei että hän oli mutta kun niin se joka olla tämä myös voi mukaan vuonna kanssa jälkeen sitten talo järvi metsä yö työ".split()
+    ukrainian = "і не що він але це як його для вона було також після років дуже їжа між"
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.substring("text", 1, 150).alias("text"), "lang", "source")
+    docs = docs.crossJoin(spark.range(10).select("id")).drop("id")
+    rare = [(20000 + i, " ".join(r.choices(finnish, k=25)), "fi", f"src{i}") for i in range(10)]  # 0.1 % of the rows
+    rare += [(30000 + i, ukrainian, "uk", f"src{i}") for i in range(2)]  # too few for a model
+    rare += [(40000, ukrainian, None, "src1"), (40001, ukrainian, "xx", "src1"), (40002, "the house and the river with the water of that", "uk", "src1")]
+    found = langid.identify_documents(docs.unionByName(spark.createDataFrame(rare, docs.schema)))
+    got = {x["doc_id"]: (x["language"], x["accepted"]) for x in found.filter("doc_id >= 20000").collect()}
+    assert [got[20000 + i] for i in range(10)] == [("fi", True)] * 10
+    assert got[30000] == got[30001] == ("uk", True)
+    assert got[40000] == got[40001] == ("und", False) and got[40002] == ("en", True)
+
+
 def test_empty_and_clashing(spark, odd_docs):
     assert langid.identify_documents(odd_docs.limit(0)).count() == 0
     clash = odd_docs.withColumnRenamed("pos", "language")
