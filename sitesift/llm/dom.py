@@ -8,6 +8,7 @@ belongs to the block element around it; inline elements only mark it (links).
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -15,6 +16,9 @@ import numpy as np
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never shown or never prose.
 SKIPPED = frozenset("script style noscript template svg math title iframe object canvas select textarea button audio video".split())
+#: Skipped elements whose content is markup, not raw text: a self-closed one is empty, an unclosed one ends as the next block begins.
+_LOOSE = SKIPPED - frozenset("script style noscript title iframe".split())
+_ANY_LOOSE = re.compile(rf"(?i)<(?:{'|'.join(sorted(_LOOSE))})\b")
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong
  sub sup time tt u var rb rt rp nobr""".split())
 #: Elements that a start tag of the key closes, if open within the nearest of the second set.
@@ -32,6 +36,38 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _COUNTS = ("chars", "linked", "words", "marks", "stops", "blocks", "inputs", "elements", "links", "long")
 
 
+class _Unclosed(HTMLParser):
+    """Which of a page's _LOOSE start tags, counted in page order, have no end tag within the element around them."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.found: set[int] = set()
+        self._n = 0
+        self._open: list[tuple[str, int]] = []
+        self._held: Counter[str] = Counter()
+        self.feed(html)
+        self.close()
+        self.found.update(n for _, n in self._open if n >= 0)
+
+    def handle_starttag(self, tag, attrs) -> None:
+        if tag not in VOID and tag not in INLINE:
+            self._open.append((tag, self._n if tag in _LOOSE else -1))
+            self._held[tag] += 1
+        self._n += tag in _LOOSE
+
+    def handle_startendtag(self, tag, attrs) -> None:
+        self._n += tag in _LOOSE
+
+    def handle_endtag(self, tag) -> None:
+        while self._held[tag]:
+            last, n = self._open.pop()
+            self._held[last] -= 1
+            if last == tag:
+                return
+            if n >= 0:
+                self.found.add(n)
+
+
 class Page(HTMLParser):
     """The block tree of one page. Attribute ``label_attr``, if given, is read as a node's label (training pages)."""
 
@@ -47,7 +83,9 @@ class Page(HTMLParser):
         self.blocks: list[tuple[int, str]] = []
         self._label_attr = label_attr
         self._open: list[tuple[str, int]] = []  # (tag, node); inline elements carry the node of the block around them
-        self._skip: list[str] = []
+        self._skip: list[tuple[str, bool]] = []  # (tag, whether it is never closed); those never closed come first
+        self._unclosed = _Unclosed(html).found if _ANY_LOOSE.search(html) else frozenset()
+        self._n_loose = 0
         self._run: list[str] = []
         self._linked = 0
         self._node("html", [])
@@ -110,13 +148,17 @@ class Page(HTMLParser):
                 break
 
     def handle_starttag(self, tag, attrs) -> None:
+        unclosed = tag in _LOOSE and self._n_loose in self._unclosed
+        self._n_loose += tag in _LOOSE
+        if self._skip and self._skip[-1][1] and tag in _TAG:
+            self._skip.clear()
         if self._skip:
-            if tag == self._skip[-1]:
-                self._skip.append(tag)
+            if tag == self._skip[-1][0] and not unclosed or self._skip[-1][1] and tag in SKIPPED:
+                self._skip.append((tag, unclosed))
             return
         if tag in SKIPPED:
             self.counts[self._at()][6] += tag in ("select", "textarea", "button")
-            self._skip.append(tag)
+            self._skip.append((tag, unclosed))
             return
         if tag in VOID:
             self.counts[self._at()][6] += tag == "input"
@@ -144,16 +186,20 @@ class Page(HTMLParser):
         self._open.append((tag, self._node(tag, attrs)))
 
     def handle_startendtag(self, tag, attrs) -> None:
+        held = len(self._skip)
         self.handle_starttag(tag, attrs)
+        if tag in _LOOSE:
+            del self._skip[held:]
         if tag not in VOID and tag not in SKIPPED and not self._skip:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag) -> None:
         if self._skip:
-            if tag == self._skip[-1]:
+            if tag == self._skip[-1][0]:
                 self._skip.pop()
                 return
-            if tag in INLINE or not any(t == tag for t, _ in self._open):
+            closed = self._skip[-1][0] in _LOOSE and not self._skip[-1][1]  # by an end tag yet to come
+            if closed or tag in INLINE or not any(t == tag for t, _ in self._open):
                 return
             self._skip.clear()  # the end of an element around an unclosed one
         if tag in VOID:

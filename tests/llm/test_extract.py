@@ -82,3 +82,14 @@ def test_odd_rows(spark, extractor):
     rows = extract.extract_text(df, extractor).collect()
     assert sorted((str(r["page_id"]), r["text"]) for r in rows) == [("1", ""), ("2", "Some words here."), ("2", "Some words here."), ("None", "")]
     assert extract.extract_text(df.limit(0), extractor).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "canvas", "audio", "video", "object", "button", "select", "template"])
+def test_text_after_skipped_elements(tag):
+    texts = lambda page: [t for _, t in Page(page).blocks]
+    assert texts(f"<article><p>a</p><{tag}/><p>b</p><p>c</p></article>") == ["a", "b", "c"]
+    assert texts(f"<article><p>a<{tag}/>b</p><{tag}><{tag} />no</{tag}><p>c</p></article>") == ["ab", "c"]
+    assert texts(f"<article><p>a</p><{tag}>no<p>b</p><p>c</p></article><p>d</p>") == ["a", "b", "c", "d"]
+    assert texts(f"<article><p>a</p><{tag}>no<p>b</p><{tag}><div>no</div></{tag}><p>c</p></article>") == ["a", "b", "c"]
+    assert texts(f"<div><{tag}><div>no</div><p>no</p></{tag}>a</div><{tag}>no") == ["a"]
+    assert texts(f"<div><{tag}><div>no<{tag}></div>no</{tag}><p>a</p></div><p>b</p>") == ["a", "b"]
