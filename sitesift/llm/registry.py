@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op8_bpe
 from .decontaminate import op6_decontaminate
 from .extract import op2_main_text
+from .importance import op13_importance
 from .langid import language_of_pages, op10_language
 from .pii import op9_pii
 from .pitman_yor import op7_pitman_yor
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_language": op10_language,
+    "op13_importance": op13_importance,
     "language_of_pages": language_of_pages,
 }
 
