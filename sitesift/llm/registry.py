@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op8_bpe
 from .decontaminate import op6_decontaminate
 from .extract import op2_main_text
+from .hardneg import OP11_SQL, op11_hard_negatives
 from .importance import op13_importance
 from .langid import language_of_pages, op10_language
 from .pii import op9_pii
@@ -29,9 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_language": op10_language,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_importance": op13_importance,
     "language_of_pages": language_of_pages,
 }
 
-#: None of the queries has SQL: checksums, hashes and learned models have no DuckDB form.
-ORACLE: dict[str, str] = {}
+#: The other queries have no SQL: checksums, hashes and learned models have no DuckDB form.
+ORACLE: dict[str, str] = {"op11_hard_negatives": OP11_SQL}
