@@ -14,6 +14,7 @@ from .importance import op13_importance
 from .langid import language_of_pages, op10_language
 from .pii import op9_pii
 from .pitman_yor import op7_pitman_yor
+from .repeats import op12_repeats
 from .sharding import op1_sharding
 from .simhash import op4_simhash
 from .tokenbin import op5_token_ids
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_language": op10_language,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_repeats": op12_repeats,
     "op13_importance": op13_importance,
     "language_of_pages": language_of_pages,
 }
