@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-_ROW = np.dtype([("char", np.int64), ("pos", np.int64), ("lcp", np.uint16)])
+_ROW = np.dtype([("char", np.int32), ("pos", np.int64), ("lcp", np.uint16)])
 _CHUNK = 1 << 18
 #: Ranges of characters that a queue keeps apart, besides frequent single characters.
 _RANGES = 64
@@ -254,7 +254,7 @@ def induce(text: np.ndarray, flip: int | None, seeds: Iterator[np.ndarray], coun
             rows, further = ahead.look(batch, end)
             sources.append(rows)
             more.append(further)
-            key = np.concatenate([s["char"] * 3 + k for k, s in enumerate(sources)])
+            key = np.concatenate([s["char"] * np.int64(3) + k for k, s in enumerate(sources)])
             if not len(key):
                 break
             limit = min((int(s["char"][-1]) * 3 + k for k, s in enumerate(sources) if more[k]), default=1 << 62)
@@ -466,9 +466,9 @@ def sort_suffixes(text: np.ndarray, sigma: int, scratch: Scratch, cap: int) -> T
             rows["pos"] = where[max(1, end - _CHUNK):end][::-1]
             ordered.add(rows)
     elif 60 * k <= scratch.memory:
-        ordered = _in_memory(names, scratch, cap)
+        ordered = _in_memory(names, scratch, (cap + 1) // 2)  # a name moves on by two characters or more
     else:
-        ordered = sort_suffixes(names, number + 1, scratch, cap)
+        ordered = sort_suffixes(names, number + 1, scratch, (cap + 1) // 2)
 
     def sorted_seeds():
         yield at(places[-1:])

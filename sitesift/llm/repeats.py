@@ -37,7 +37,7 @@ GRAM = 100
 #: Bytes of pieces in a shard, on average.
 SHARD_BYTES = 2 << 20
 #: Bytes that a sort keeps in memory for its queues and tapes.
-SORT_MEMORY = 64 << 20
+SORT_MEMORY = 96 << 20
 #: Bytes of text whose windows are handled at once.
 SLAB_BYTES = 1 << 19
 
@@ -149,7 +149,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int = LE
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
+        for batch in (whole.slice(a, 1000) for whole in batches for a in range(0, whole.num_rows, 1000)):
             texts, keys = batch.column("data").to_pylist(), batch.column("key")
             for text, start, count, value, again in text_runs(texts, length, gram):
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(text)), pa.array(start, pa.int64()), pa.array(count, pa.int64()), pa.array(value, pa.int64()), pa.array(again)],
@@ -158,8 +158,10 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int = LE
     texts = rows.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.min(F.octet_length("data")).alias("size"))
     texts = written(texts, "texts")
     runs = written(rows.select("key", "data").mapInArrow(cut, "key binary, start long, n long, value long, again boolean"), "runs")
-    place = F.struct("key", "start")
-    twice = runs.groupBy("value").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("again").alias("again")).filter("a <> b OR again").select("value")
+    apart = F.expr("a <> b OR c <> d").alias("apart")  # at two places: texts a and b, or starts c and d
+
+    places = [F.min(F.xxhash64("key")).alias("a"), F.max(F.xxhash64("key")).alias("b"), F.min("start").alias("c"), F.max("start").alias("d")]
+    twice = runs.groupBy("value").agg(*places, F.max("again").alias("again")).filter(apart | F.col("again")).select("value")
     # copies of a text give the same runs: one of each goes on
     asked = runs.join(twice, "value", "left_semi").drop("again").distinct()
     asked = asked.groupBy("key").agg(F.collect_list(F.struct("start", "n", "value")).alias("runs"))  # of one text
@@ -175,10 +177,10 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int = LE
                 yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(some), pa.binary()), pa.array([r["start"] for r in some], pa.int64()),
                                                   pa.array([r["value"] for r in some], pa.int64()), pa.array(pieces, pa.binary())], names=names)
 
-    one = rows.join(asked, (rows["key"] == asked["key"]) & rows["id"].eqNullSafe(asked["id"])).select(rows["key"], "data", "runs")
+    # texts and runs meet by a sort merge at every size: the runs grow with the texts
+    one = rows.join(asked.hint("merge"), (rows["key"] == asked["key"]) & rows["id"].eqNullSafe(asked["id"])).select(rows["key"], "data", "runs")
     pieces = written(one.mapInArrow(pick, "key binary, start long, value long, piece binary"), "pieces")
-    shared = pieces.groupBy("value", "piece").agg(F.count("*").alias("times"), F.min("key").alias("a"), F.max("key").alias("b"), F.min("start").alias("c"), F.max("start").alias("d"))
-    shared = shared.select("value", "piece", F.expr("a <> b OR c <> d").alias("twice"))
+    shared = pieces.groupBy("value", "piece").agg(*places).select("value", "piece", apart.alias("twice"))
     total = pieces.agg(F.sum(F.octet_length("piece") + 1)).first()[0] or 0  # an upper bound of what the shards hold
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +215,8 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int = LE
 
     dealt = shared.withColumn("sum", F.unhex(F.md5("piece"))).repartition(max(1, -(-total // shard_bytes)), "value").select("sum", "twice", "piece")
     found = written(dealt.mapInArrow(sort, f"sum binary, spans {_SPANS}"), "spans")
-    places = pieces.select("key", F.col("start").alias("at"), F.unhex(F.md5("piece")).alias("sum"))
-    spans = (places.join(found, "sum").select("key", F.explode(F.transform("spans", lambda s: F.struct((s["start"] + F.col("at")).alias("start"), (s["end"] + F.col("at")).alias("end")))).alias("s"))
+    met = pieces.select("key", F.col("start").alias("at"), F.unhex(F.md5("piece")).alias("sum"))
+    spans = (met.join(found, "sum").select("key", F.explode(F.transform("spans", lambda s: F.struct((s["start"] + F.col("at")).alias("start"), (s["end"] + F.col("at")).alias("end")))).alias("s"))
              .groupBy("key").agg(F.array_sort(F.collect_list("s")).alias("spans")))  # of one text
     # spans that touch or overlap become one
     merged = F.aggregate("spans", F.array().cast(_SPANS), lambda acc, s: F.when(
@@ -240,7 +242,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     spans = repeated_spans(docs, id_col, text_col, length, gram, shard_bytes, memory).withColumnsRenamed({"key": "_key", "spans": "_spans"})
     rows = docs.withColumn("kept", data).drop(text_col).withColumn("_key", F.unhex(F.md5("kept"))).withColumn("n_bytes", F.octet_length("kept").cast("long"))
-    rows = rows.join(spans, "_key", "left").withColumn("spans", F.coalesce("_spans", F.array().cast(_SPANS)))
+    rows = rows.join(spans.hint("merge"), "_key", "left").withColumn("spans", F.coalesce("_spans", F.array().cast(_SPANS)))
     rest = [c for c in docs.columns if c != text_col]
     rows = rows.select(*rest, "n_bytes", "spans", "kept")
     schema = rows.schema
