@@ -127,6 +127,22 @@ def _among(words: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of[at] == words, at
 
 
+def _counted(part: np.ndarray, at: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different (part, word, context, document) in order, and how often each occurs."""
+    if at.max(initial=0) >> 21 == 0:  # all four fit in 64 bits
+        key = part.astype(np.uint64) << np.uint64(48) | at.astype(np.uint64) << np.uint64(27) | context.astype(np.uint64) << np.uint64(12) | doc.astype(np.uint64)
+        key.sort()
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        n, key = np.diff(np.r_[first, len(key)]), key[first]
+        part, at, context, doc = key >> np.uint64(48), key >> np.uint64(27) & np.uint64((1 << 21) - 1), key >> np.uint64(12) & np.uint64((1 << 15) - 1), key & np.uint64(4095)
+    else:
+        order = np.lexsort((doc, context, at, part))
+        part, at, context, doc = part[order], at[order], context[order], doc[order]
+        first = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (at[1:] != at[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1])])
+        n, part, at, context, doc = np.diff(np.r_[first, len(order)]), part[first], at[first], context[first], doc[first]
+    return part.astype(np.int64), at.astype(np.int64), context.astype(np.uint16), doc.astype(np.uint16), n
+
+
 def packets(docs: DataFrame, frequent: np.ndarray, parts: int) -> DataFrame:
     """(part, slab, body, docs): one row per slab and part with its occurrences, one per slab with its documents."""
     schema = "part int, slab long, body binary, docs array<struct<doc_id: long, held_out: boolean, n_tokens: long>>"
@@ -143,15 +159,7 @@ def packets(docs: DataFrame, frequent: np.ndarray, parts: int) -> DataFrame:
                 hot = _among(word, frequent)[0]
                 by_word = mix(word, 1) % np.uint64(parts)
                 part = np.where(hot[at], mix(token ^ mix(context.astype(np.uint64), 2), 1) % np.uint64(parts), by_word[at])
-                key = part << np.uint64(48) | at.astype(np.uint64) << np.uint64(27) | context.astype(np.uint64) << np.uint64(12) | doc.astype(np.uint64)
-                key.sort()
-                first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-                n = np.diff(np.r_[first, len(key)])
-                key = key[first]
-                part = (key >> np.uint64(48)).astype(np.int64)
-                at = (key >> np.uint64(27) & np.uint64((1 << 21) - 1)).astype(np.int64)
-                context = (key >> np.uint64(12) & np.uint64((1 << 15) - 1)).astype(np.uint16)
-                doc = (key & np.uint64(4095)).astype(np.uint16)
+                part, at, context, doc, n = _counted(part, at, context, doc)
                 held_out = held[a:b][doc]
                 cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
                 found = []

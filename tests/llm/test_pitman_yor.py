@@ -75,3 +75,19 @@ def test_probabilities_sum_to_one(spark):
         total += model.parent(p.word_tables(tables, s), p.word, s).sum()
     unknown = model.parent(np.zeros(1, np.int64), np.array([12345], np.uint64), s)[0]
     assert abs(total + unknown - 1) < 1e-9
+
+
+def test_more_words_than_a_packed_key_holds(spark):
+    r = np.random.default_rng(1)
+    part, at, context, doc = (r.integers(n, size=5000) for n in (3, 9, 4, 2))
+    many = H._counted(part, at + (1 << 22), context, doc)
+    few = H._counted(part, at, context, doc)
+    assert all(np.array_equal(a, b + ((1 << 22) if i == 1 else 0)) for i, (a, b) in enumerate(zip(many, few)))
+    n = (1 << 21) + 50_000
+    text = " ".join(f"{i:x}" for i in range(n)) + " 0 1"
+    docs = spark.createDataFrame([(1, text), (2, "0 1 zz")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in H.score_documents(docs).collect()}
+    tokens, known = n + 2 + 1 + 4, n + 2  # all the words, zz, the ends
+    weight = lambda c: math.log10((c + 0.1) / (tokens + 0.1 * (known + 1)))
+    assert got[1]["n_tokens"] == n + 3 and got[1]["train_tokens"] == tokens
+    assert got[1]["base_score"] == pytest.approx((n - 2) * weight(1) + 4 * weight(3) + weight(2), rel=1e-9)
