@@ -152,7 +152,7 @@ def extra_fields(metas) -> Column:
         _c(metas),
         lambda m: F.lower(m["name"]).startswith(EXTRA_PREFIX) & (F.length(m["name"]) > len(EXTRA_PREFIX)),
     )
-    kv = F.transform(ex, lambda m: F.struct(F.substring(m["name"], len(EXTRA_PREFIX) + 1, 100000).alias("k"),
+    kv = F.transform(ex, lambda m: F.struct(F.substring(m["name"], F.lit(len(EXTRA_PREFIX) + 1), F.length(m["name"])).alias("k"),
                                             m["content"].alias("v")))
     keys = F.array_distinct(F.transform(kv, lambda e: e["k"]))
     return F.map_from_arrays(
@@ -184,24 +184,3 @@ def canonical_reason_from(hrefs, doc_key) -> Column:
     href = F.get(_c(hrefs), 0)
     return F.when((F.size(_c(hrefs)) > 0) & ~F.lower(href).contains(F.lower(_c(doc_key))),
                   F.format_string("encountered canonical tag to '%s'", href))
-
-
-def noindex_reason(metas) -> Column:
-    """Reason text of the first robots/internal-index meta containing 'noindex', else null."""
-    hit = F.filter(
-        _c(metas),
-        lambda m: F.lower(m["name"]).isin("robots", "internal-index") & F.lower(m["content"]).contains("noindex"),
-    )
-    first = F.get(hit, 0)
-    return F.when(F.size(hit) > 0, F.format_string("encountered meta tag %s='%s'", first["name"], first["content"]))
-
-
-def canonical_reason(cleaned, doc_key) -> Column:
-    """D3: reason when the first canonical link's href does not contain the key (lower-cased)."""
-    tags = F.regexp_extract_all(_c(cleaned), F.lit(P.LINK_TAG), 0)
-    canon = F.filter(tags, lambda t: unquote(F.regexp_extract(t, P.attr("rel"), 1)) == "canonical")
-    href = unquote(F.regexp_extract(F.get(canon, 0), P.attr("href"), 1))
-    return F.when(
-        (F.size(canon) > 0) & ~F.lower(href).contains(F.lower(_c(doc_key))),
-        F.format_string("encountered canonical tag to '%s'", href),
-    )

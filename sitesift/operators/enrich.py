@@ -3,7 +3,9 @@ strings, hidden flag and ancestor path over the item tree."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import short_id
@@ -34,21 +36,24 @@ def missing_items(pages: DataFrame, items: DataFrame, header: str = "item_uri")
         "reason", F.format_string("Item not found: %s", F.col(header)))
 
 
-def version_fields(df: DataFrame, templates: DataFrame) -> DataFrame:
+def version_fields(df: DataFrame, templates: DataFrame, extra_columns: Mapping[str, Column] | None = None) -> DataFrame:
     """Database, composite id (short id + language + '%' + version),
-    language, template short id, url (item URI)."""
+    language, template short id, url (item URI). `extra_columns` adds columns or
+    takes the place of these."""
     t = templates.select("template_no", short_id(F.col("template_id")).alias("template"))
     t = F.broadcast(t) if fits_broadcast(t) else t
     out = df.join(t, "template_no", "left")
-    return out.withColumn("db", F.col("database")).withColumn(
+    out = out.withColumn("db", F.col("database")).withColumn(
         "full_id", F.concat(short_id(F.col("item_id")), F.col("language"), F.lit("%"), F.col("version").cast("string")))
+    return out.withColumns(dict(extra_columns or {}))
 
 
-def special_fields(df: DataFrame) -> DataFrame:
+def special_fields(df: DataFrame, extra_columns: Mapping[str, Column] | None = None) -> DataFrame:
     """Item name and display name (`names`, to be added to the document's
-    names), icon, creator, editor and template name of items."""
+    names), icon, creator, editor and template name of items. `extra_columns` adds
+    columns or takes the place of these."""
     return df.withColumns({"item_name": F.col("name"), "names": F.array("name", "display_name"),
-                           "creator": F.col("created_by"), "editor": F.col("updated_by")})
+                           "creator": F.col("created_by"), "editor": F.col("updated_by")}).withColumns(dict(extra_columns or {}))
 
 
 def all_templates(items: DataFrame, templates: DataFrame, bases: DataFrame) -> DataFrame:

@@ -82,13 +82,15 @@ def term_stats(postings: DataFrame) -> DataFrame:
 class SearchIndex:
     """Everything a search reads: `postings` and `term_df` are the inverted
     index, `results` the narrow table of result columns, `total` the number of
-    documents; `docs` holds the attributes that filters and sorts name."""
+    documents; `docs` holds the attributes that filters and sorts name. Where
+    postings carry a `seq`, `dead` lists the (path, seq) that no longer count."""
 
     docs: DataFrame
     postings: DataFrame
     term_df: DataFrame
     results: DataFrame | None = None
     total: int | None = None
+    dead: DataFrame | None = None
 
     @property
     def n_docs(self) -> DataFrame:
@@ -121,7 +123,7 @@ def build_index(docs: DataFrame, stop_words: Sequence[str] = (), checkpoint: boo
 
 
 # Attributes that filters and sorts read, kept with a written index where the documents have them.
-ATTRIBUTES = ("title", "language", "tags", "hidden", "template", "item_path", "db", "creator", "editor", "depth", "boost")
+ATTRIBUTES = ("title", "language", "tags", "hidden", "template", "item_path", "db", "creator", "editor", "depth", "boost", "item_enter")
 
 
 def write_index(index: SearchIndex, path: str) -> None:
@@ -132,7 +134,10 @@ def write_index(index: SearchIndex, path: str) -> None:
         df.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").parquet(f"{path}/{name}")
     index.result_table.write.mode("overwrite").parquet(f"{path}/results")
     kept = [c for c in ATTRIBUTES if c in index.docs.columns]
-    index.docs.select("path", *kept).write.mode("overwrite").parquet(f"{path}/docs")
+    docs = index.docs.select("path", *kept)
+    if "item_enter" in kept:  # a subtree is a range: its row groups lie together
+        docs = docs.repartitionByRange("item_enter").sortWithinPartitions("item_enter")
+    docs.write.mode("overwrite").parquet(f"{path}/docs")
 
 
 def read_index(spark: SparkSession, path: str) -> SearchIndex:

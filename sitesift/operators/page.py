@@ -112,7 +112,9 @@ def documents_as_index(docs: DataFrame, boost: float = 1.0, run_id: str = "") ->
     """The `documents` table as index documents: path '/doc/<id>', title = first
     line of the text, content = [text, title], language = lang, tags = source."""
     title = H.trim_ws(F.substring_index(F.coalesce(F.col("text"), F.lit("")), "\n", 1))
+    passthrough = [c for c in ("seq", "outcome") if c in docs.columns]
     return docs.select(
+        *passthrough,
         F.concat(F.lit("/doc/"), F.col("doc_id").cast("string")).alias("path"),
         F.array(title).alias("name"),
         title.alias("title"),

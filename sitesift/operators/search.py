@@ -46,7 +46,9 @@ class SearchOptions:
     fields: Sequence[tuple[str, float]] | None = None  # (field, base boost); None = the three defaults
     languages: Sequence[str] = ()
     template: str | None = None  # template short id
-    root_item: dict | None = None  # {"short_id", "database", "language", "section_short_id"}
+    # {"short_id", "database", "language", "section_short_id"}; with "interval" and "section_interval", the (enter,
+    # leave) of tree.tour_intervals, documents that have an `item_enter` are filtered by range instead of by path
+    root_item: dict | None = None
     show_hidden: bool = False
     ignore_editor_options: bool = False
     user: str | None = None
@@ -156,7 +158,7 @@ def expand_terms(terms: DataFrame, term_df: DataFrame, max_rows: int = BROADCAST
     take their fields and document frequencies.
     """
     t = terms.select("field", "term", "min_sim").distinct().withColumn("L", F.length("term"))
-    long_enough = (F.col("min_sim") < 1.0) & (F.col("L").cast("double") > F.lit(1.0) / (F.lit(1.0) - F.col("min_sim")))
+    long_enough = F.coalesce(F.col("L").cast("double") > F.try_divide(F.lit(1.0), F.lit(1.0) - F.col("min_sim")), F.lit(False))  # never at 1.0
     t = t.withColumn("fuzzy", long_enough)
     vocab = term_df.select("field", F.col("term").alias("vterm"), "df")
     exact = (t.filter(~F.col("fuzzy")).join(vocab, (t.field == vocab.field) & (t.term == vocab.vterm))
@@ -199,11 +201,14 @@ def clause_matches(clauses: DataFrame, index: SearchIndex, max_rows: int = BROAD
     ce = clauses.join(exp, ["field", "term", "min_sim"]).select(
         "query_id", "word_no", "n_clauses", "field", "vterm", "df", (F.col("boost") * F.col("weight")).alias("qboost"))
     ce = ce.checkpoint(eager=True)
-    post = index.postings.select("field", F.col("term").alias("vterm"), "path", "tf", "norm")
+    version = ["path", "seq"] if index.dead is not None else ["path"]
+    post = index.postings.select("field", F.col("term").alias("vterm"), *version, "tf", "norm")
     if fits_broadcast(ce, max_rows):
         j = post.join(F.broadcast(ce), ["field", "vterm"])
     else:
         j = post.join(ce, ["field", "vterm"])
+    if index.dead is not None:
+        j = j.join(index.dead, version, "left_anti")
     n_docs = F.lit(index.total) if index.total is not None else index.n_docs.scalar()
     idf = F.lit(1.0) + F.log(n_docs / (F.col("df") + F.lit(1)))
     contrib = F.sqrt(F.col("tf")) * idf * idf * F.col("qboost") * F.col("norm")
@@ -227,6 +232,13 @@ def score_hits(matches: DataFrame, n_fields: int = 3) -> DataFrame:
         (F.sum("ws") * F.count(F.lit(1)) / F.first("n_clauses")).alias("score"))
 
 
+def _below(cols: set[str], root: dict, item: str, interval: str) -> Column:
+    """The document's item is the root's or below it: a range of tour numbers, or the id in the item's path."""
+    if root.get(interval) is not None and "item_enter" in cols:
+        return F.col("item_enter").between(*root[interval])
+    return F.array_contains(F.split(F.lower(F.coalesce(F.col("item_path"), F.lit(""))), " "), root[item].lower())
+
+
 def doc_filter(docs: DataFrame, opts: SearchOptions) -> Column:
     """G12-G16 as one predicate over document attributes."""
     cond = F.lit(True)
@@ -234,14 +246,12 @@ def doc_filter(docs: DataFrame, opts: SearchOptions) -> Column:
     langs = [x.lower() for x in opts.languages]
     root = opts.root_item
     if root is not None:
-        sid = root["short_id"].lower()
-        cond = cond & F.array_contains(F.split(F.lower(F.coalesce(F.col("item_path"), F.lit(""))), " "), sid)
+        cond = cond & _below(cols, root, "short_id", "interval")
         cond = cond & (F.lower(F.col("db")) == root["database"].lower())
         if not langs:
             langs = [root["language"].lower()]
         if not opts.ignore_editor_options and root.get("section_short_id"):
-            sec = root["section_short_id"].lower()
-            cond = cond & F.array_contains(F.split(F.lower(F.coalesce(F.col("item_path"), F.lit(""))), " "), sec)
+            cond = cond & _below(cols, root, "section_short_id", "section_interval")
     if langs:
         cond = cond & F.lower(F.col("language")).isin(langs)
     if not opts.ignore_editor_options and not opts.show_hidden and "hidden" in cols:

@@ -278,7 +278,7 @@ def q_stream_index(spark, sf):
 
 # ---------------------------------------------------------------- search filters on an item-enriched page index
 
-def enriched_page_index(spark, sf):
+def enriched_page_index(spark, sf, intervals=None):
     """Page documents joined with their CMS item: language, template, hidden
     (any ancestor), item path, database, creator and editor become filter and
     field columns."""
@@ -291,10 +291,12 @@ def enriched_page_index(spark, sf):
     it = EN.version_fields(EN.item_uri(items), S.templates(spark, sf))
     it = it.join(EN.hidden_flag(items).withColumnRenamed("hidden", "hidden_any"), "item_no") \
         .join(EN.item_path(items), "item_no")
-    it = it.select("item_uri", "db", "language", "template", F.col("hidden_any").alias("hidden"), "item_path",
+    it = it.select("item_no", "item_uri", "db", "language", "template", F.col("hidden_any").alias("hidden"), "item_path",
                    F.col("created_by").alias("creator"), F.col("updated_by").alias("editor"),
                    short_id(F.col("item_id")).alias("item_sid"))
-    d = docs.join(hdr, "page_id", "left").join(it, "item_uri", "left")
+    if intervals is not None:
+        it = it.join(intervals.select("item_no", F.col("enter").alias("item_enter")), "item_no")
+    d = docs.join(hdr, "page_id", "left").join(it.drop("item_no"), "item_uri", "left")
     d = d.filter(F.col("item_uri").isNull() | (F.col("item_uri") == "") | F.col("db").isNotNull())  # a page that names a missing item is not indexed
     return build_index(d, checkpoint=True)
 

@@ -11,6 +11,7 @@ newer fetches already applied.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..operators import route as R
 from ..operators.docs import latest_fetch
+from ..operators.graph import robots_allowed
 from ..operators.page import build_document
+from ..operators.segments import FANOUT, add_batch
 from ..session import ensure_checkpoint_dir
 
 
@@ -52,6 +55,13 @@ def stream_seen(fetch_stream: DataFrame, watermark: str | None = None) -> DataFr
     return s.dropDuplicates(["url_key"])
 
 
+def stream_robots(url_stream: DataFrame, url_col: str, rules: DataFrame, out: str, ckpt: str) -> None:
+    """B11 on a stream: the rows of each batch with `allowed`, in a folder per batch that a repeated batch overwrites."""
+    q = (url_stream.writeStream.foreachBatch(lambda batch, epoch: robots_allowed(batch, url_col, rules).write.mode("overwrite").parquet(f"{out}/batch={epoch:09d}"))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def stream_latest(outcome_stream: DataFrame) -> DataFrame:
     """Last outcome per key by seq (update mode aggregate)."""
     return outcome_stream.groupBy("doc_key").agg(
@@ -143,5 +153,14 @@ def stream_index(fetch_stream: DataFrame, root: str, ckpt: str, tags: str = "cra
     q.awaitTermination()
 
 
+def stream_segments(doc_stream: DataFrame, root: str, ckpt: str, stop_words: Sequence[str] = (), fanout: int = FANOUT) -> None:
+    """A stream of index documents (with seq and outcome) kept as a searchable index, one segment a batch."""
+    if _exists(doc_stream.sparkSession, f"{root}/_manifest") and not _exists(doc_stream.sparkSession, ckpt):
+        raise ValueError(f"{root} was written under another stream checkpoint than {ckpt}")
+    q = (doc_stream.writeStream.foreachBatch(lambda batch, epoch: add_batch(batch, epoch, root, stop_words, fanout))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def indexed_documents(spark: SparkSession, root: str) -> DataFrame:
     return read_current(spark, root).filter(F.col("outcome") == R.INDEXED).drop("outcome")
