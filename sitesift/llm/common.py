@@ -83,6 +83,29 @@ def forget() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def release(spark: SparkSession) -> None:
+    """Free what idle workers kept from earlier stages: a job of short tasks that meets each of them, as far as it can.
+
+    Nothing depends on it but memory; a worker that it misses frees its objects with its next task.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+        import time
+
+        forget()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)  # freed memory goes back to the system
+        except (AttributeError, OSError):
+            pass
+        time.sleep(0.1)  # so that the other workers get tasks too
+        yield from batches
+
+    n = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).mapInArrow(run, "id long").count()
+
+
 def slabs(texts: list[str], chars: int = SLAB_CHARS) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of about ``chars`` characters; at least one text each."""
     start = held = 0

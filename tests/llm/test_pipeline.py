@@ -54,3 +54,15 @@ def test_odd_rows_go_through(spark, odd_docs, tmp_path):
     for _, stage in C.STAGES:
         none = C.written(stage(spark, none, SF), "s")
     assert none.count() == 0
+
+
+def test_own_columns_of_the_stages_names_stay(spark):
+    names = ["language", "probability", "text_language", "accepted", "fingerprint", "component_id", "spans", "ids", "n_tokens", "key", "id", "text_crc32"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.selectExpr("*", *[f"concat('mine ', doc_id, ' {n}') AS {n}" for n in names])
+    for _, stage in C.STAGES[:-1]:
+        docs = C.written(stage(spark, docs, SF), "s")
+        assert docs.columns[-len(names):] == names
+    rows = docs.collect()
+    assert rows and all(r[n] == f"mine {r['doc_id']} {n}" for r in rows for n in names)
+    assert C.STAGES[-1][1](spark, docs, SF).count() == len(rows)
