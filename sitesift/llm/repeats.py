@@ -11,7 +11,7 @@ Layout: (1) values, a few bytes for every 150 bytes of text, are summed up by a
 shuffle of two bounds for each value and task; (2) the runs whose value occurs twice
 go back to one text of each group of equal texts, which is cut into pieces; (3) equal
 pieces become one row before and in the shuffle, so a passage that a third of all
-texts hold is one piece; (4) each shard, of about ``SHARD_BYTES``, is written to a
+texts hold is one piece, and one whose value no other piece has is not sorted; (4) each shard, of about ``SHARD_BYTES``, is written to a
 scratch file of the task and its suffixes are sorted in bounded memory, whatever the
 shard's size: neighbours that share ``LENGTH`` bytes mark their windows; (5) the
 marked windows go back to the texts by the pieces' checksums. Equal texts of that
@@ -163,42 +163,59 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int = LE
     places = [F.min(F.xxhash64("key")).alias("a"), F.max(F.xxhash64("key")).alias("b"), F.min("start").alias("c"), F.max("start").alias("d")]
     twice = runs.groupBy("value").agg(*places, F.max("again").alias("again")).filter(apart | F.col("again")).select("value")
     # copies of a text give the same runs: one of each goes on
-    asked = runs.join(twice, "value", "left_semi").drop("again").distinct()
-    asked = asked.groupBy("key").agg(F.collect_list(F.struct("start", "n", "value")).alias("runs"))  # of one text
+    asked = runs.join(twice, "value", "left_semi").distinct()
+    asked = asked.groupBy("key").agg(F.collect_list(F.struct("start", "n", "value", "again")).alias("runs"))  # of one text
     asked = written(asked.join(texts.select("key", "id"), "key"), "asked")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        names = ["key", "start", "value", "piece"]
+        names = ["key", "start", "value", "again", "piece"]
         for batch in batches:
             for data, key, some in zip(batch.column("data"), batch.column("key"), batch.column("runs")):
                 text, some = data.as_buffer(), some.as_py()
                 pieces = [text[r["start"]:r["start"] + r["n"] + length - 1].to_pybytes() for r in some]
                 yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(some), pa.binary()), pa.array([r["start"] for r in some], pa.int64()),
-                                                  pa.array([r["value"] for r in some], pa.int64()), pa.array(pieces, pa.binary())], names=names)
+                                                  pa.array([r["value"] for r in some], pa.int64()), pa.array([r["again"] for r in some], pa.bool_()),
+                                                  pa.array(pieces, pa.binary())], names=names)
 
     # texts and runs meet by a sort merge at every size: the runs grow with the texts
     one = rows.join(asked.hint("merge"), (rows["key"] == asked["key"]) & rows["id"].eqNullSafe(asked["id"])).select(rows["key"], "data", "runs")
-    pieces = written(one.mapInArrow(pick, "key binary, start long, value long, piece binary"), "pieces")
-    shared = pieces.groupBy("value", "piece").agg(*places).select("value", "piece", apart.alias("twice"))
+    pieces = written(one.mapInArrow(pick, "key binary, start long, value long, again boolean, piece binary"), "pieces")
+    shared = pieces.groupBy("value", "piece").agg(*places, F.max("again").alias("again")).select("value", "piece", "again", apart.alias("twice"))
     total = pieces.agg(F.sum(F.octet_length("piece") + 1)).first()[0] or 0  # an upper bound of what the shards hold
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        sums, whole, sizes = [], [], []
+        sums, whole, sizes, sorted_ones = [], [], [], []
 
         def arriving():
+            # pieces of one value come one after another; one that is alone repeats nothing but itself
+            value, first = None, None
             for batch in batches:
                 sums.extend(batch.column("sum").to_pylist())
                 whole.extend(batch.column("twice").to_pylist())
-                for piece in batch.column("piece").to_pylist():
+                for v, again, piece in zip(batch.column("value").to_pylist(), batch.column("again").to_pylist(), batch.column("piece").to_pylist()):
+                    at = len(sizes)
                     sizes.append(len(piece))
+                    if v != value:
+                        value, first = v, (at, piece)
+                        if not again:
+                            continue
+                    if first is not None:
+                        sorted_ones.append(first[0])
+                        yield first[1]
+                        if first[0] == at:
+                            first = None
+                            continue
+                        first = None
+                    sorted_ones.append(at)
                     yield piece
 
         with tempfile.TemporaryDirectory() as folder:
             last, spans = -1, []
             out: list[tuple[bytes, list]] = []
             for i, first, n in repeated_windows(arriving(), length, Scratch(folder, memory)):
+                i = sorted_ones[i]
                 if i != last and last >= 0:
                     if not whole[last]:
                         out.append((sums[last], spans))
@@ -213,7 +230,8 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int = LE
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in some], pa.binary()), pa.array([x for _, x in some], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                                              names=["sum", "spans"])
 
-    dealt = shared.withColumn("sum", F.unhex(F.md5("piece"))).repartition(max(1, -(-total // shard_bytes)), "value").select("sum", "twice", "piece")
+    dealt = shared.withColumn("sum", F.unhex(F.md5("piece"))).repartition(max(1, -(-total // shard_bytes)), "value").sortWithinPartitions("value")
+    dealt = dealt.select("value", "sum", "again", "twice", "piece")
     found = written(dealt.mapInArrow(sort, f"sum binary, spans {_SPANS}"), "spans")
     met = pieces.select("key", F.col("start").alias("at"), F.unhex(F.md5("piece")).alias("sum"))
     spans = (met.join(found, "sum").select("key", F.explode(F.transform("spans", lambda s: F.struct((s["start"] + F.col("at")).alias("start"), (s["end"] + F.col("at")).alias("end")))).alias("s"))
