@@ -11,22 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitesift.llm import bpe, decontaminate, langid, pii, simhash
-from sitesift.llm.common import table, written
+from sitesift.llm.common import release, table, written
+
+#: Columns that language identification makes; own columns of these names are kept beside them.
+_MADE = ("language", "probability", "text_language", "accepted")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is identified, with it as their label; others (no letters, no known language) go."""
-    found = langid.identify_documents(docs).filter("accepted")
-    return found.withColumn("lang", F.col("language")).select(*docs.columns)
+    release(spark)
+    own = {c: f"_own_{c}" for c in docs.columns if c in _MADE}
+    found = langid.identify_documents(docs.withColumnsRenamed(own)).filter("accepted").withColumn("lang", F.col("language"))
+    return found.drop(*_MADE).withColumnsRenamed({b: a for a, b in own.items()}).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each SimHash component stays: that with the smallest doc_id."""
+    release(spark)
     return simhash.keep_one(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold a passage of the benchmark go."""
+    release(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -38,6 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with its bytes back from them as a checksum."""
+    release(spark)
     return bpe.round_trip(docs.select("doc_id", "lang", "source", "text")).select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
