@@ -208,7 +208,8 @@ def clause_matches(clauses: DataFrame, index: SearchIndex, max_rows: int = BROAD
     else:
         j = post.join(ce, ["field", "vterm"])
     if index.dead is not None:
-        j = j.join(index.dead, version, "left_anti")
+        # an anti join would be pushed below the join with the query's terms, to all postings
+        j = j.join(index.dead.withColumn("_dead", F.lit(True)), version, "left").filter(F.col("_dead").isNull()).drop("_dead")
     n_docs = F.lit(index.total) if index.total is not None else index.n_docs.scalar()
     idf = F.lit(1.0) + F.log(n_docs / (F.col("df") + F.lit(1)))
     contrib = F.sqrt(F.col("tf")) * idf * idf * F.col("qboost") * F.col("norm")
