@@ -4,9 +4,10 @@ A task takes its documents in slabs. The distinct words of a slab that the task
 has not met before are laid out as one symbol array; an inverted index leads
 from each token pair (named by the token it makes) to the positions where it
 stands. Merges are then replayed over all these words in rank order: the merge
-of lowest rank goes to its positions from left to right, and only the pairs with
-the two touched neighbours are entered anew. Every word so gets the result that
-merging it alone would give. Documents are put together from their words' ids.
+of lowest rank goes to its positions in all words at once, as array operations,
+and only the pairs with the two touched neighbours are entered anew. Every word
+so gets the result that merging it alone would give. Documents are put together
+from their words' ids.
 
 Words, not documents, carry the cost, and nothing is shuffled. Word results are
 kept per task in a table of bounded size.
@@ -15,8 +16,6 @@ kept per task in a table of bounded size.
 from __future__ import annotations
 
 import base64
-import re
-import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -34,6 +33,10 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 ROWS = 500
 #: Words whose ids a task keeps (a speed matter only: a word that went is merged again).
 KEPT_WORDS = 300_000
+#: Characters of text whose new words are merged together.
+CHARS = 4_000_000
+#: Words up to so many bytes are merged in arrays, if there are so many; others place by place (a speed matter only).
+SHORT, MANY = 64, 5_000
 ID = np.dtype("<u4")
 
 
@@ -63,6 +66,17 @@ class MergeReplay:
             if len(token) == 2:
                 self.first[token[0], token[1]] = rank
         self._pairs: dict[int, int] = {}
+        self.none = max(ranks.values()) + 1  # stands beyond both ends of a word; no pair holds it
+        pairs = sorted((left * (self.none + 1) + right, rank) for token, rank in ranks.items() for i in range(1, len(token))
+                       if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None)
+        self.pairs, self.pair_token = np.array([*pairs, (np.iinfo(np.int64).max, -1)], np.int64).T.copy()
+
+    def _tokens_of(self, pairs: np.ndarray) -> np.ndarray:
+        """The token that each pair (left * (none + 1) + right) makes, or -1."""
+        at = self.pairs.searchsorted(pairs)
+        made = self.pair_token[at]
+        made[self.pairs[at] != pairs] = -1
+        return made
 
     def _made(self, pair: int) -> int:
         """The token that the pair (left << 32 | right) makes, or -1."""
@@ -81,6 +95,76 @@ class MergeReplay:
         cuts = np.flatnonzero(np.diff(made)) + 1
         return {int(m[0]): p.tolist() for m, p in zip(np.split(made, cuts), np.split(places, cuts), strict=True) if len(p)}
 
+    def encode_all(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word: short words together, each merge at all its places at once; long words by ``encode``.
+
+        A merge goes to its leftmost place in every word; its other places come
+        after what the new pairs make of lower rank.
+        """
+        out = [ID.type(r).tobytes() if (r := self.ranks.get(w)) is not None else b"" for w in words]
+        rest = [i for i, w in enumerate(words) if w and not out[i]]
+        short = [i for i in rest if len(words[i]) <= SHORT]
+        if len(short) < MANY:
+            short = []
+        taken = set(short)
+        alone = [i for i in rest if i not in taken]
+        for i, ids in zip(alone, self.encode([words[i] for i in alone]), strict=True):
+            out[i] = np.array(ids, ID).tobytes()
+        if not short:
+            return out
+        text = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
+        sizes = np.array([len(words[i]) for i in short])
+        ends = np.cumsum(sizes)
+        n, last, starts = len(text), ends - 1, ends - sizes
+        word = np.repeat(np.arange(len(short), dtype=np.int32), sizes)
+        symbols = np.append(self.single[text], self.none)
+        after = np.arange(1, n + 2, dtype=np.int32)
+        before = np.arange(-1, n, dtype=np.int32)
+        after[last], before[starts] = n, n
+        made = np.full(n + 1, -1, np.int64)  # the token that a symbol makes with the next one
+        made[:n - 1] = self.first[text[:-1], text[1:]]
+        made[last] = -1
+        index = self._index(text, last)
+        queue = list(index)
+        heapify(queue)
+        while queue:
+            rank = heappop(queue)
+            p = np.array(index.pop(rank))
+            p = p[made[p] == rank]  # elsewhere a neighbour has changed since
+            if len(p) > 1:
+                p.sort()
+                of = word[p]
+                later = np.concatenate([[False], of[1:] == of[:-1]])
+                if later.any():
+                    index[rank] = p[later].tolist()
+                    heappush(queue, rank)
+                    p = p[~later]
+            elif not len(p):
+                continue
+            q = after[p]
+            right, left = after[q], before[p]
+            symbols[p], symbols[q] = rank, -1
+            made[q] = -1
+            after[p], before[right] = right, p
+            touched = np.concatenate([left, p])
+            new = self._tokens_of(np.concatenate([symbols[left] * (self.none + 1) + rank, rank * (self.none + 1) + symbols[right]]))
+            made[touched] = new
+            held = new >= 0
+            for token, at in zip(new[held].tolist(), touched[held].tolist(), strict=True):
+                if token in index:
+                    index[token].append(at)
+                else:
+                    index[token] = [at]
+                    heappush(queue, token)
+        stays = symbols[:n] >= 0
+        raw = symbols[:n][stays].astype(ID).tobytes()
+        cuts = (np.cumsum(np.add.reduceat(stays, starts, dtype=np.int64)) * ID.itemsize).tolist()
+        at = 0
+        for i, end in zip(short, cuts, strict=True):
+            out[i] = raw[at:end]
+            at = end
+        return out
+
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word; a word that is a token itself is that token."""
         out: list[list[int]] = [[r] if (r := self.ranks.get(w)) is not None else [] for w in words]
@@ -185,48 +269,21 @@ class Encoder:
 
         self.replay = MergeReplay(load_ranks(path))
         self.words_of = regex.compile(public_tokenizers.PATTERN).findall
-        #: White space beside a blank, or a blank at an end.
-        self.unclear = re.compile(r" \s|[^\S ] |\A\s|\s\Z").search
-        self.pieces, self.chunks = Kept(KEPT_WORDS // 2), Kept(KEPT_WORDS)
-
-    def _chunks(self, text: str) -> list[str]:
-        """The text cut before single blanks that stand between two other characters.
-
-        No match of the pattern crosses such a cut, so chunks can be encoded
-        alone. All but the first begin with a blank, which is left out here.
-        """
-        parts = text.split(" ")
-        if not self.unclear(text):
-            return parts
-        out = [parts[0]]
-        for part in parts[1:]:
-            last = out[-1]
-            if part and last and not last[-1].isspace() and not part[0].isspace():
-                out.append(part)
-            else:
-                out[-1] = f"{last} {part}"
-        return out
+        self.pieces = Kept(KEPT_WORDS + KEPT_WORDS // 2)
 
     def _learn(self, words: Iterable[str]) -> None:
         new = self.pieces.missing(words)
-        now = self.pieces.now
-        for w, ids in zip(new, self.replay.encode([w.encode() for w in new]), strict=True):
-            now[w] = struct.pack(f"<{len(ids)}I", *ids)
+        self.pieces.now.update(zip(new, self.replay.encode_all([w.encode() for w in new]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self._chunks(t) for t in texts]
+        cut = [self.words_of(t) for t in texts]
         met: set[str] = set()
-        for chunks in cut:
-            met.update(chunks[1:])
-        new = [(c, self.words_of(f" {c}")) for c in self.chunks.missing(met)]
-        first = [self.words_of(chunks[0]) for chunks in cut]
-        self._learn({w for words in first for w in words}.union(*[words for _, words in new]))
-        kept, pieces = self.chunks.now, self.pieces.now
-        for c, words in new:
-            kept[c] = b"".join([pieces[w] for w in words])
-        return [b"".join([pieces[w] for w in words] + [kept[c] for c in chunks[1:]])
-                for words, chunks in zip(first, cut, strict=True)]
+        for words in cut:
+            met.update(words)
+        self._learn(met)
+        ids = self.pieces.now.__getitem__
+        return [b"".join(map(ids, words)) for words in cut]
 
 
 def encoder(path: str) -> Encoder:
@@ -244,7 +301,7 @@ def encode_documents(docs: DataFrame, text_col: str = "text", path: str | None =
         ids = encoder(path or vocabulary_path()).encode(texts)
         return {"ids": ids, "n_tokens": [len(x) // ID.itemsize for x in ids]}
 
-    return add_columns(docs, {"ids": "binary", "n_tokens": "long"}, text_col, make, keeps=True)
+    return add_columns(docs, {"ids": "binary", "n_tokens": "long"}, text_col, make, keeps=True, chars=CHARS)
 
 
 @lru_cache(maxsize=2)
@@ -287,7 +344,7 @@ def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None)
         ids, tokens = encoder(where).encode(texts), token_bytes(where)
         return {"ids": ids, "n_tokens": [len(x) // ID.itemsize for x in ids], "decoded": [decode(x, tokens) for x in ids]}
 
-    return add_columns(docs, {"ids": "binary", "n_tokens": "long", "decoded": "binary"}, text_col, make, drop=(text_col,), keeps=True)
+    return add_columns(docs, {"ids": "binary", "n_tokens": "long", "decoded": "binary"}, text_col, make, drop=(text_col,), keeps=True, chars=CHARS)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

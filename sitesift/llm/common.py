@@ -124,12 +124,13 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 
 
 def add_columns(df: DataFrame, fields: dict[str, str], text_col: str,
-                make: Callable[[list[str], pa.RecordBatch], dict[str, list]], drop: tuple[str, ...] = (), keeps: bool = False) -> DataFrame:
+                make: Callable[[list[str], pa.RecordBatch], dict[str, list]], drop: tuple[str, ...] = (), keeps: bool = False,
+                chars: int = SLAB_CHARS) -> DataFrame:
     """``df`` with the columns ``fields`` (name: type) that ``make`` computes from the texts of a slab of rows.
 
     ``make`` gets the texts (null as empty) and their rows. Other columns pass
     through as Arrow arrays, whatever their types; columns in ``drop`` go.
-    ``keeps``: ``make`` uses an object kept by the worker.
+    ``keeps``: ``make`` uses an object kept by the worker. ``chars``: characters of a slab.
     """
     df = df.drop(*fields)
     kept = [f for f in df.schema.fields if f.name not in drop]
@@ -142,7 +143,7 @@ def add_columns(df: DataFrame, fields: dict[str, str], text_col: str,
             forget()
         for batch in batches:
             texts = texts_of(batch, text_col)
-            for a, b in slabs(texts):
+            for a, b in slabs(texts, chars):
                 rows = batch.slice(a, b - a)
                 made = make(texts[a:b], rows)
                 yield pa.RecordBatch.from_arrays(

@@ -21,6 +21,19 @@ def test_replay_equals_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in bpe.Encoder(bpe.vocabulary_path()).encode(texts)] == [lib.encode_ordinary(t) for t in texts]
 
 
+def test_merges_of_many_words_at_once(monkeypatch):
+    monkeypatch.setattr(bpe, "MANY", 1)
+    r = random.Random(2)
+    lib, replay = library(), bpe.MergeReplay(bpe.load_ranks(bpe.vocabulary_path()))
+    words = {"".join(r.choice(s) for _ in range(r.randint(1, 40))) for s in ("ab", "a", "aé漢😀", "thehin", "abcdefghijklmnopqrstuvwxyz") for _ in range(3000)}
+    words |= {"a" * n for n in range(1, 200)} | {"ab" * n for n in range(1, 100)} | {"aba" * n for n in range(1, 100)}
+    raw = [w.encode() for w in sorted(words)]
+    got = replay.encode_all(raw)
+    assert got == [np.array(ids, "<u4").tobytes() for ids in replay.encode(raw)]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [lib._encode_single_piece(w) for w in raw]
+    assert replay.encode_all([]) == [] and replay.encode_all([b""]) == [b""]
+
+
 def test_words_that_went_are_merged_again(monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_WORDS", 8)
     enc, lib = bpe.Encoder(bpe.vocabulary_path()), library()
