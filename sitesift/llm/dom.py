@@ -83,6 +83,7 @@ class Page(HTMLParser):
         self.blocks: list[tuple[int, str]] = []
         self._label_attr = label_attr
         self._open: list[tuple[str, int]] = []  # (tag, node); inline elements carry the node of the block around them
+        self._held: Counter[str] = Counter()  # open elements by tag
         self._skip: list[tuple[str, bool]] = []  # (tag, whether it is never closed); those never closed come first
         self._unclosed = _Unclosed(html).found if _ANY_LOOSE.search(html) else frozenset()
         self._n_loose = 0
@@ -127,6 +128,7 @@ class Page(HTMLParser):
 
     def _pop(self) -> None:
         tag, node = self._open.pop()
+        self._held[tag] -= 1
         if tag in INLINE:
             self._linked -= tag == "a"
         else:
@@ -134,6 +136,8 @@ class Page(HTMLParser):
 
     def _close(self, tags, until) -> None:
         """Close the outermost open element of ``tags`` above the last one of ``until``."""
+        if not any(self._held[t] for t in tags):
+            return
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i][0] in until:
                 break
@@ -167,10 +171,11 @@ class Page(HTMLParser):
             elif tag == "hr":
                 self._flush()
             return
-        if tag in ("html", "head") or tag == "body" and any(t == tag for t, _ in self._open):
+        if tag in ("html", "head") or tag == "body" and self._held[tag]:
             return
         if tag in INLINE:
             self._open.append((tag, self._at()))
+            self._held[tag] += 1
             self.counts[self._at()][7] += 1
             if tag == "a":
                 self._linked += 1
@@ -184,6 +189,7 @@ class Page(HTMLParser):
         while self._open and self._open[-1][0] in INLINE and tag != "ins":  # an inline element does not hold blocks here
             self._pop()
         self._open.append((tag, self._node(tag, attrs)))
+        self._held[tag] += 1
 
     def handle_startendtag(self, tag, attrs) -> None:
         held = len(self._skip)
@@ -199,10 +205,10 @@ class Page(HTMLParser):
                 self._skip.pop()
                 return
             closed = self._skip[-1][0] in _LOOSE and not self._skip[-1][1]  # by an end tag yet to come
-            if closed or tag in INLINE or not any(t == tag for t, _ in self._open):
+            if closed or tag in INLINE or not self._held[tag]:
                 return
             self._skip.clear()  # the end of an element around an unclosed one
-        if tag in VOID:
+        if tag in VOID or not self._held[tag]:
             return
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i][0] == tag:

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -93,3 +94,10 @@ def test_text_after_skipped_elements(tag):
     assert texts(f"<article><p>a</p><{tag}>no<p>b</p><{tag}><div>no</div></{tag}><p>c</p></article>") == ["a", "b", "c"]
     assert texts(f"<div><{tag}><div>no</div><p>no</p></{tag}>a</div><{tag}>no") == ["a"]
     assert texts(f"<div><{tag}><div>no<{tag}></div>no</{tag}><p>a</p></div><p>b</p>") == ["a", "b"]
+
+
+def test_stray_end_tags_take_linear_time():
+    for stray in ("<b>" * 100_000 + "</i>" * 100_000, "<b>" * 50_000 + "<svg><g>" + "</i>" * 50_000, "<div>" * 20_000 + "</p>" * 20_000):
+        began = time.process_time()
+        Page(f"<article><p>a</p>{stray}")
+        assert time.process_time() - began < 5
