@@ -34,7 +34,7 @@ ROWS = 500
 #: Words whose ids a task keeps (a speed matter only: a word that went is merged again).
 KEPT_WORDS = 300_000
 #: Characters of text whose new words are merged together.
-CHARS = 4_000_000
+CHARS = 2_000_000
 #: Words up to so many bytes are merged in arrays, if there are so many; others place by place (a speed matter only).
 SHORT, MANY = 64, 5_000
 ID = np.dtype("<u4")
@@ -269,7 +269,7 @@ class Encoder:
 
         self.replay = MergeReplay(load_ranks(path))
         self.words_of = regex.compile(public_tokenizers.PATTERN).findall
-        self.pieces = Kept(KEPT_WORDS + KEPT_WORDS // 2)
+        self.pieces = Kept(KEPT_WORDS)
 
     def _learn(self, words: Iterable[str]) -> None:
         new = self.pieces.missing(words)
