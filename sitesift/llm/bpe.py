@@ -33,8 +33,10 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 ROWS = 500
 #: Words whose ids a task keeps (a speed matter only: a word that went is merged again).
 KEPT_WORDS = 300_000
+#: The same for the table of this operator.
+KEPT_PIECES = 450_000
 #: Characters of text whose new words are merged together.
-CHARS = 2_000_000
+CHARS = 4_000_000
 #: Words up to so many bytes are merged in arrays, if there are so many; others place by place (a speed matter only).
 SHORT, MANY = 64, 5_000
 ID = np.dtype("<u4")
@@ -263,13 +265,13 @@ class Kept:
 class Encoder:
     """Encodes texts; keeps the ids of words it has met, up to a bound."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
         import public_tokenizers
         import regex
 
         self.replay = MergeReplay(load_ranks(path))
         self.words_of = regex.compile(public_tokenizers.PATTERN).findall
-        self.pieces = Kept(KEPT_WORDS)
+        self.pieces = Kept(most or KEPT_PIECES)
 
     def _learn(self, words: Iterable[str]) -> None:
         new = self.pieces.missing(words)
@@ -286,8 +288,8 @@ class Encoder:
         return [b"".join(map(ids, words)) for words in cut]
 
 
-def encoder(path: str) -> Encoder:
-    return keep(f"bpe {path}", lambda: Encoder(path))
+def encoder(path: str, most: int | None = None) -> Encoder:
+    return keep(f"bpe {path} {most}", lambda: Encoder(path, most))
 
 
 def encode_documents(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -334,17 +336,18 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None, chars: int = CHARS, most: int | None = None) -> DataFrame:
     """``docs`` without its text, with ``ids``, ``n_tokens`` and ``decoded``: both directions in one task.
 
     The bytes are decoded from the ids alone. Rows as in ``encode_documents``.
+    ``chars`` (of a slab) and ``most`` (words kept) trade memory for time; results are the same.
     """
     def make(texts: list[str], _) -> dict[str, list]:
         where = path or vocabulary_path()
-        ids, tokens = encoder(where).encode(texts), token_bytes(where)
+        ids, tokens = encoder(where, most).encode(texts), token_bytes(where)
         return {"ids": ids, "n_tokens": [len(x) // ID.itemsize for x in ids], "decoded": [decode(x, tokens) for x in ids]}
 
-    return add_columns(docs, {"ids": "binary", "n_tokens": "long", "decoded": "binary"}, text_col, make, drop=(text_col,), keeps=True, chars=CHARS)
+    return add_columns(docs, {"ids": "binary", "n_tokens": "long", "decoded": "binary"}, text_col, make, drop=(text_col,), keeps=True, chars=chars)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

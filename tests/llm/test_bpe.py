@@ -35,7 +35,7 @@ def test_merges_of_many_words_at_once(monkeypatch):
 
 
 def test_words_that_went_are_merged_again(monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 8)
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 8)
     enc, lib = bpe.Encoder(bpe.vocabulary_path()), library()
     texts = [f"some words {i} and others {i * i}" for i in range(50)]
     for t in texts + texts:
@@ -54,5 +54,7 @@ def test_round_trip_and_odd_rows(spark, odd_docs):
     both = bpe.round_trip(odd_docs)
     assert "text" not in both.columns
     assert sorted((bytes(r["ids"]), bytes(r["decoded"])) for r in both.collect()) == sorted((bytes(r["ids"]), bytes(r["decoded"])) for r in rows)
+    small = bpe.round_trip(odd_docs, chars=10, most=2)
+    assert sorted(bytes(r["ids"]) for r in small.collect()) == sorted(bytes(r["ids"]) for r in rows)
     clash = odd_docs.withColumnRenamed("pos", "ids")
     assert bpe.encode_documents(clash).columns.count("ids") == 1
