@@ -46,7 +46,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with its bytes back from them as a checksum."""
     release(spark)
-    return bpe.round_trip(docs.select("doc_id", "lang", "source", "text")).select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+    ids = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), chars=2_000_000, most=300_000)  # beside what other stages hold
+    return ids.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
