@@ -46,3 +46,19 @@ def test_tasks_grow_with_the_matches(spark):
     post = index.postings.selectExpr("field", "term AS vterm", "path", "sqrt(tf) * norm AS impact")
     parts = lambda n: SR.document_matches(post, expanded, per_task=n).rdd.getNumPartitions()
     assert parts(50) > 4 * parts(500) > 0
+
+
+def test_pairs_are_scored_without_a_shuffle_of_matches(spark, monkeypatch):
+    from sitesift.operators import topk as TK
+    index, queries = _index(spark)
+    impacts = TK.impact_index(index)
+    lists = TK.query_lists(queries, impacts, SR.SearchOptions())
+    every = SR.hits_for(queries, index)
+    pairs = every.filter("xxhash64(path, query_id) % 3 = 0").select("query_id", "path")
+    rows = lambda d: sorted((r["query_id"], r["path"], round(r["score"], 9)) for r in d.collect())
+    want = rows(every.join(pairs, ["query_id", "path"], "left_semi"))
+    for fits in (True, False):  # pairs within and beyond the broadcast's bound
+        monkeypatch.setattr(SR, "fits_broadcast", lambda *_: fits)
+        scored = TK.score_pairs(pairs, lists, impacts, 3)
+        assert all("word_no" not in x and "query_id" not in x for x in _exchanges(scored)), _exchanges(scored)
+        assert rows(scored) == want
