@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import short_id
+from ..session import stored
 from .route import ITEM_MISSING
 from .sizing import fits_broadcast
 
@@ -87,15 +88,16 @@ def ancestors(items: DataFrame, with_chain: bool = True) -> DataFrame:
     hidden_any is true when the item or any ancestor is hidden. Each round
     joins the open rows (those whose pointer names a further ancestor) to the
     row their pointer names and doubles the distance covered, so depth d takes
-    log2(d) rounds; finished rows are set aside. Rounds are checkpointed to the
-    shared checkpoint folder. Open rows left when the distance exceeds the
+    log2(d) rounds; finished rows are set aside. Rounds are stored as Parquet (a checkpoint
+    hands on size estimates whose digits double with each join), joins are merge joins (chains
+    take far more memory than their files). Open rows left when the distance exceeds the
     number of items stand on or below a cycle, which is an error. An item whose
     parent does not exist ends its own chain. Without `with_chain` no chains
     are built.
     """
     chain = F.array(F.upper(F.regexp_replace("item_id", "[{}-]", ""))) if with_chain else F.lit(None).cast("array<string>")
-    rows = items.select("item_no", F.col("parent_no").alias("ptr"), F.coalesce(F.col("hidden"), F.lit(False)).alias("hid"),
-                        chain.alias("chain")).checkpoint(eager=True)
+    rows = stored(items.select("item_no", F.col("parent_no").alias("ptr"), F.coalesce(F.col("hidden"), F.lit(False)).alias("hid"),
+                               chain.alias("chain")))
     done, open_rows = rows.filter(F.col("ptr").isNull()), rows.filter(F.col("ptr").isNotNull())
     n, reach = rows.count(), 1
     while not open_rows.isEmpty():
@@ -103,10 +105,10 @@ def ancestors(items: DataFrame, with_chain: bool = True) -> DataFrame:
             raise ValueError(f"items in a cycle of parents, or below one: {[r[0] for r in open_rows.select('item_no').take(5)]}")
         t = done.unionByName(open_rows).select(F.col("item_no").alias("t_no"), F.col("ptr").alias("t_ptr"), F.col("hid").alias("t_hid"),
                                                F.col("chain").alias("t_chain"))
-        rows = open_rows.join(t, F.col("ptr") == F.col("t_no"), "left").select(
+        rows = stored(open_rows.join(t.hint("merge"), F.col("ptr") == F.col("t_no"), "left").select(
             "item_no", F.col("t_ptr").alias("ptr"), (F.col("hid") | F.coalesce(F.col("t_hid"), F.lit(False))).alias("hid"),
             F.when(F.col("t_chain").isNull(), F.col("chain")).otherwise(F.concat("chain", "t_chain")).alias("chain"),
-        ).checkpoint(eager=True)
+        ))
         done, open_rows = done.unionByName(rows.filter(F.col("ptr").isNull())), rows.filter(F.col("ptr").isNotNull())
         reach *= 2
     return done.select("item_no", F.col("hid").alias("hidden_any"), "chain")

@@ -14,6 +14,7 @@ from ..operators.graph import robots_allowed
 from ..operators.page import documents_as_index
 from ..operators.route import INDEXED, NOT_FOUND
 from ..operators.tree import tour_intervals
+from ..session import stored
 from ..sources import tables as S
 from ..streaming import live as LV
 from ..streaming import stream as ST
@@ -110,7 +111,7 @@ def q_tour_intervals(spark, sf):
 
 
 def _interval_search(spark, sf, item_no, section_no=None, **options):
-    tour = tour_intervals(S.items(spark, sf)).checkpoint(eager=True)
+    tour = stored(tour_intervals(S.items(spark, sf)))
     ends = {r["item_no"]: (r["enter"], r["leave"]) for r in tour.filter(F.col("item_no").isin(item_no, section_no or item_no)).collect()}
     root = {**_root(spark, sf, item_no, section_no), "interval": ends[item_no]}
     if section_no is not None:

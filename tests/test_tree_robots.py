@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from sitesift.operators.enrich import hidden_flag
 from sitesift.operators.graph import robots_allowed
 from sitesift.operators.index import build_index, read_index, write_index
 from sitesift.operators.page import documents_as_index
@@ -104,3 +105,11 @@ def test_many_rules_meet_a_url_by_equality(spark):
     assert all(x["allowed"] == (x["n"] % 2 == 0) for x in out.collect())
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "StartsWith" not in plan.split("Join")[0] and "_start" in plan
+
+
+def test_rounds_hand_on_no_size_estimates(spark):
+    """Estimates that are products of the rounds before double their digits in every round."""
+    line = spark.range(600).selectExpr("id AS item_no", "nullif(id, 0) - 1 AS parent_no", "id = 7 AS hidden", "cast(id AS string) AS item_id")
+    for out in (tour_intervals(line), hidden_flag(line)):
+        assert len(str(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 60
+        assert out.count() == 600
