@@ -99,14 +99,22 @@ def decode_entities(s) -> Column:
     return out
 
 
+def first_base(cleaned_html) -> Column:
+    """First non-empty well-formed <head><base href>, null without one."""
+    from .html import head_base_hrefs
+
+    return F.get(F.filter(head_base_hrefs(cleaned_html), lambda h: (h != "") & h.rlike(r"^[^ \t\n\r\f<>\"]+$")), 0)
+
+
+def base_or_url(base, response_url) -> Column:
+    """The base that a page names, else the response URL without query and fragment."""
+    return F.coalesce(_c(base), F.regexp_replace(_c(response_url), r"[?#].*$", ""))
+
+
 def base_url(cleaned_html, response_url) -> Column:
     """First non-empty well-formed <head><base href>, else the response URL
     without query and fragment."""
-    from .html import head_base_hrefs
-
-    hrefs = F.filter(head_base_hrefs(cleaned_html), lambda h: (h != "") & h.rlike(r"^[^ \t\n\r\f<>\"]+$"))
-    fallback = F.regexp_replace(_c(response_url), r"[?#].*$", "")
-    return F.coalesce(F.get(hrefs, 0), fallback)
+    return base_or_url(first_base(cleaned_html), response_url)
 
 
 def _remove_dots(path: Column, collapse_empty: bool) -> Column:

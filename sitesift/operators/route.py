@@ -13,19 +13,19 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import urls as U
 from ..functions.html import RegionRule
-from ..operators.page import parse_pages
+from ..operators.page import BODY, parse_pages
 
 INDEXED, SKIPPED, NOT_FOUND, ERROR, ABORT, ITEM_MISSING = (
     "INDEXED", "SKIPPED", "NOT_FOUND", "ERROR", "ABORT", "ITEM_MISSING")
 
 
 def fetch_pages(log: DataFrame, pages: DataFrame) -> DataFrame:
-    """Attach the fetched body to each log row (join on page id)."""
-    return log.join(pages.select("page_id", "html"), "page_id", "left")
+    """Attach the fetched body, or what `parse_bodies` read in it, to each log row (join on page id)."""
+    return log.join(pages.select("page_id", *[c for c in ("html", *BODY) if c in pages.columns]), "page_id", "left")
 
 
 def parse_fetches(fetches: DataFrame, index_rules=(), follow_rules=(), compat: bool = False) -> DataFrame:
-    """B1, B2, C1-C8 on a fetch log: effective URL, key, gated parse."""
+    """B1, B2, C1-C8 on a fetch log: effective URL, key, gated parse. Bodies read beforehand are not parsed again for each fetch."""
     f = fetches.withColumn("url", U.effective_url("response_uri", "step_uri"))
     gate = H.html_gate(F.col("status"), F.col("content_type"))
     return parse_pages(f, gate=gate, index_rules=index_rules, follow_rules=follow_rules, compat=compat)

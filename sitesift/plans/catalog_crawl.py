@@ -8,16 +8,20 @@ from ..functions import patterns as P
 from ..functions import urls as U
 from ..operators import docs as DO
 from ..operators import route as R
-from ..operators.page import build_document, parse_pages
+from ..operators.page import build_document, parse_bodies, parse_pages
 from ..sources import tables as S
 from . import sqlparts as Q
 from .catalog import CRAWL_LOG_SQL, ORACLE, PAGES_META_SQL, register
 
 
+def fetched(spark, sf, log=None, compat=False):
+    """The fetches of a log with what their pages say; each page is parsed once, not once for each fetch."""
+    bodies = parse_bodies(S.pages_meta(spark, sf), compat=compat)
+    return R.parse_fetches(R.fetch_pages(log if log is not None else S.crawl_log(spark, sf), bodies), compat=compat)
+
+
 def crawl(spark, sf, compat=False):
-    log = S.crawl_log(spark, sf)
-    f = R.fetch_pages(log, S.pages_meta(spark, sf))
-    return R.outcomes(R.parse_fetches(f, compat=compat))
+    return R.outcomes(fetched(spark, sf, compat=compat))
 
 
 _NI = ("list_filter(ms, lambda m: lower(m.name) IN ('robots', 'internal-index') "
@@ -69,9 +73,7 @@ def q_skip_reason(spark, sf):
     noindex_reason, canonical_reason) END AS reason FROM oc2 WHERE parsed AND coalesce(
     CASE WHEN contains(lower(title), 'the') THEN 'x' END, noindex_reason, canonical_reason) IS NOT NULL""")
 def q_custom_skip(spark, sf):
-    log = S.crawl_log(spark, sf)
-    p = R.parse_fetches(R.fetch_pages(log, S.pages_meta(spark, sf)))
-    o = R.outcomes(p, custom=F.lower(F.col("title")).contains("the"))
+    o = R.outcomes(fetched(spark, sf), custom=F.lower(F.col("title")).contains("the"))
     return o.filter(F.col("reason").isNotNull()).select("seq", "reason")
 
 
@@ -244,8 +246,7 @@ def _log_with_503(spark, sf):
 SELECT seq, outcome FROM oc3 WHERE seq <= {ABORT_AT}""")
 def q_abort_cut_503(spark, sf):
     """A 503 late in the log: everything before it counts, nothing after."""
-    f = R.fetch_pages(_log_with_503(spark, sf), S.pages_meta(spark, sf))
-    return R.abort_cut(R.outcomes(R.parse_fetches(f))).select("seq", "outcome")
+    return R.abort_cut(R.outcomes(fetched(spark, sf, _log_with_503(spark, sf)))).select("seq", "outcome")
 
 
 @register("publish_rollback_503", UPSERT_SQL + " SELECT path, 'old' AS version FROM old")

@@ -21,7 +21,7 @@ from ..streaming import stream as ST
 from . import flows
 from . import sqlparts as Q
 from .catalog import ORACLE, RANKED_SQL, register
-from .catalog_crawl import CRAWL_SQL
+from .catalog_crawl import CRAWL_SQL, fetched
 from .catalog_more import ITEMS_SQL, _fetch_files, _root, enriched_page_index
 
 # ---------------------------------------------------------------- an index kept current by a stream
@@ -180,7 +180,7 @@ WINDOW_SQL = CRAWL_SQL + """ SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, f.fetc
 
 @register("window_report", WINDOW_SQL)
 def q_window_report(spark, sf):
-    o = R.outcomes(R.parse_fetches(R.fetch_pages(S.crawl_log(spark, sf), S.pages_meta(spark, sf))))
+    o = R.outcomes(fetched(spark, sf))
     return LV.window_report(o).withColumn("window_start", F.unix_timestamp("window_start"))
 
 
