@@ -1,9 +1,9 @@
 """Inverted index.
 
-Tokens of every text field are produced inside the document row (no shuffle),
-term frequencies by a grouped count whose map-side partial aggregation already
-collapses each document's repeats (a document lives in one task), so the
-shuffle carries one row per (field, term, path). The field norm
+Documents are shuffled once, by path; tokens of every text field are produced
+inside the document row, and term frequencies are a grouped count in the same
+task, as all rows of a path are there. Postings, whose keys take several times the
+space of the texts, are not shuffled. The field norm
 (doc boost / sqrt(field length)) rides on each posting, so scoring needs no
 join back to a per-document table.
 """
@@ -66,9 +66,15 @@ def field_lengths(docs: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
     return field_tokens(docs, stop_words).select("field", "path", F.size("tokens").cast("int").alias("n_terms"))
 
 
+def _parts(docs: DataFrame) -> tuple[int, ...]:
+    """Parts for the documents: Spark would join parts by the size of their texts, a tenth of their postings'; a
+    stream's batch is left to it."""
+    return () if docs.isStreaming else (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),)
+
+
 def build_postings(docs: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
     """(field, term, path, tf, norm), one row per term occurring in a field of a document."""
-    ft = field_tokens(docs, stop_words).select(
+    ft = field_tokens(docs.repartition(*_parts(docs), "path"), stop_words).select(
         "field", "path", (F.col("boost") / F.sqrt(F.size("tokens"))).alias("norm"), F.explode("tokens").alias("term"))
     return ft.groupBy("field", "term", "path").agg(
         F.count(F.lit(1)).cast("int").alias("tf"), F.first("norm").alias("norm"))
