@@ -22,7 +22,7 @@ from . import flows
 from . import sqlparts as Q
 from .catalog import ORACLE, RANKED_SQL, register
 from .catalog_crawl import CRAWL_SQL, fetched
-from .catalog_more import ITEMS_SQL, _fetch_files, _root, enriched_page_index
+from .catalog_more import ITEMS_SQL, _fetches, _root, enriched_page_index
 
 # ---------------------------------------------------------------- an index kept current by a stream
 
@@ -162,7 +162,7 @@ def q_robots_wildcards(spark, sf):
 # ---------------------------------------------------------------- streams with side tables
 
 def _outcome_stream(spark, sf):
-    return R.outcomes(R.parse_fetches(_fetch_files(spark, sf)))
+    return R.outcomes(R.parse_fetches(_fetches(spark, sf)))
 
 
 @register("stream_events", ORACLE["outcome_events"])
